@@ -2,8 +2,10 @@
 
 Method: the word runs of the evaluation texts are hashed and partitioned by hash, the training texts are scanned once for hits,
 and the containment of each evaluation text in each training text it meets is computed. Two texts of similarity t share a run
-among the first n - ceil(t n) + 1 of each, in any order common to both (here by hash), so only those prefixes are matched:
-nothing is lost, and runs that many texts share rarely lie in two prefixes. What is met is verified on whole texts.
+among the first n - ceil(t n) + 1 of each, in any order common to both, so only those prefixes are matched:
+nothing is lost. The order puts runs that many training texts share last, so they rarely lie in two prefixes: a sketch of fixed
+size counts the runs first. A bitmap of fixed size tells the scan which runs occur in an evaluation prefix at all. What is met
+is verified on whole texts.
 
 Equal texts take part once. Defined results: null, empty and short texts (fewer than RUN words) overlap with nothing; repeated
 deliveries count once; empty tables give no rows.
@@ -12,6 +14,7 @@ deliveries count once; empty tables give no rows.
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,25 +26,72 @@ from palimpsest.llm.shingles import distinct_runs
 from palimpsest.session import materialize
 
 
-def _prefixes(threshold: float):
+#: Sizes of what is broadcast, whatever the data: counters of the sketch (one byte each then), and bits of the bitmap.
+SKETCH, BITS, CHUNK = 1 << 20, 1 << 24, 1 << 12
+
+
+def _merge(df: DataFrame, fold, size: int, dtype) -> np.ndarray:
+    """Partial arrays of all tasks, cut into chunks of CHUNK entries, folded chunk by chunk; size entries reach the driver."""
+
+    def work(keys: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        parts = [np.frombuffer(zlib.decompress(x), dtype) for x in rows["part"].to_pylist()]
+        return pa.table({"chunk": pa.array([keys[0].as_py()], pa.int32()), "part": pa.array([zlib.compress(fold.reduce(parts).tobytes(), 1)], pa.binary())})
+
+    out = np.zeros(size, dtype)
+    for chunk, part in df.groupBy("chunk").applyInArrow(work, "chunk int, part binary").collect():
+        out[chunk * CHUNK : (chunk + 1) * CHUNK] = np.frombuffer(zlib.decompress(bytes(part)), dtype)
+    return out
+
+
+def _chunks(whole: np.ndarray) -> Iterator[pa.RecordBatch]:
+    used = [i for i in range(len(whole) // CHUNK) if whole[i * CHUNK : (i + 1) * CHUNK].any()]
+    parts = [zlib.compress(whole[i * CHUNK : (i + 1) * CHUNK].tobytes(), 1) for i in used]
+    yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(parts, pa.binary())], ["chunk", "part"])
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    sketch = np.zeros(SKETCH, np.int64)
+    for batch in batches:
+        for t in batch["text"].to_pylist():
+            sketch[(distinct_runs(t) >> np.uint64(44)).astype(np.int64)] += 1
+    yield from _chunks(sketch)
+
+
+def _prefixes(threshold: float, commonness, bitmap=None):
+    """Texts (id, text) -> (id, run, size): the runs of each prefix; with a bitmap, those alone that it has."""
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common = commonness.value
+        bits = bitmap.value if bitmap else None
         for batch in batches:
             ids, runs, sizes = [], [], []
             for i, t in zip(batch["id"].to_pylist(), batch["text"].to_pylist(), strict=True):
                 r = distinct_runs(t)
                 if len(r):
-                    p = len(r) - math.ceil(threshold * len(r) - 1e-9) + 1
-                    ids.extend([i] * p)
-                    runs.append(r[:p].view(np.int64))
-                    sizes.extend([len(r)] * p)
+                    n = len(r)
+                    order = np.argsort(common[(r >> np.uint64(44)).astype(np.int64)], kind="stable")
+                    r = r[order[: n - math.ceil(threshold * n - 1e-9) + 1]]
+                    if bits is not None:
+                        at = (r & np.uint64(BITS - 1)).astype(np.int64)
+                        r = r[bits[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 1]
+                    ids.append(np.full(len(r), i))
+                    runs.append(r.view(np.int64))
+                    sizes.append(np.full(len(r), n, np.int32))
             if ids:
-                yield pa.RecordBatch.from_pydict(
-                    {"id": pa.array(ids, pa.int64()), "run": pa.array(np.concatenate(runs)), "size": pa.array(sizes, pa.int32())}
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (ids, runs, sizes)], ["id", "run", "size"])
 
     return work
 
 
+def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    bits = np.zeros(BITS // 8, np.uint8)
+    for batch in batches:
+        at = batch["run"].to_numpy(zero_copy_only=False).view(np.uint64) & np.uint64(BITS - 1)
+        at = at.astype(np.int64)
+        np.bitwise_or.at(bits, at >> 3, (np.uint8(1) << (at & 7).astype(np.uint8)))
+    yield from _chunks(bits)
+
+
 def _contain(threshold: float):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[int, np.ndarray] = {}
@@ -84,9 +134,16 @@ def overlaps(evaluation: DataFrame, training: DataFrame, threshold: float = 0.8)
 
     keys_e, texts_e = sides(evaluation, "key_e", "e")
     keys_t, texts_t = sides(training, "key_t", "t")
+    spark = evaluation.sparkSession
+    share = spark.sparkContext.broadcast
+    counts = _merge(texts_t.select("text").mapInArrow(_count, "chunk int, part binary"), np.add, SKETCH, np.int64)
+    # powers of two above the mean load of a counter: what is not clearly common is ordered by hash
+    level = np.log2(np.maximum(counts / max(1.0, float(counts.mean())), 1) + 1e-9)
+    commonness = share(np.clip(level * 2, 0, 255).astype(np.uint8))
     schema = "id bigint, run bigint, size int"
-    pe = texts_e.mapInArrow(_prefixes(threshold), schema)
-    pt = texts_t.mapInArrow(_prefixes(threshold), schema)
+    pe = materialize(texts_e.mapInArrow(_prefixes(threshold, commonness), schema))
+    bitmap = share(_merge(pe.select("run").mapInArrow(_mark, "chunk int, part binary"), np.bitwise_or, BITS // 8, np.uint8))
+    pt = texts_t.mapInArrow(_prefixes(threshold, commonness, bitmap), schema)
     hits = pe.select(F.col("id").alias("e"), "run", F.col("size").alias("se")).join(
         pt.select(F.col("id").alias("t"), "run", F.col("size").alias("st")), "run"
     )

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm import capping, neardup, overlap, splits
-from palimpsest.operators.records import fuller
+from palimpsest.llm import bpe, capping, mixing, neardup, overlap, secrets, splits
+from palimpsest.operators.records import fuller, once
 from palimpsest.session import materialize, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,34 @@ Query = Callable[[SparkSession, str], DataFrame]
 TIES = ("repo", "skill_id", "skill_cluster_id")
 
 
+def _p2_files(spark: SparkSession, d: str) -> DataFrame:
+    """All texts that may hold credentials; exact repeats and second deliveries are told apart by the result's rows."""
+    f = table(spark, d, "bundled").where("skill_id is not null").select("skill_id", F.explode("bundled_files").alias("f"))
+    files = f.select(
+        F.lit("bundled").alias("source_table"), F.col("skill_id").alias("record_id"), F.col("f.path").alias("file_path"),
+        F.col("f.content").alias("content"), F.lit(True).alias("is_file"),
+    )
+    texts = table(spark, d, "diffs").where("pair_id is not null").select(
+        F.lit("diffs").alias("source_table"), F.col("pair_id").alias("record_id"), F.lit("after_content").alias("file_path"),
+        F.col("after_content").alias("content"), F.lit(False).alias("is_file"),
+    )
+    return files.unionByName(texts).where("content is not null and content <> ''")
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return secrets.scan(_p2_files(spark, d)).select("source_table", "record_id", "file_path", "line_no").distinct()
+
+
+def p2_kinds(spark: SparkSession, d: str) -> DataFrame:
+    """Findings per table and kind, and records that have any."""
+    found = secrets.scan(_p2_files(spark, d)).distinct()
+    return found.groupBy("source_table", "kind").agg(F.count("*").alias("findings"), F.countDistinct("record_id").alias("records"))
+
+
+def p2_redacted(spark: SparkSession, d: str) -> DataFrame:
+    return secrets.redacted(_p2_files(spark, d)).distinct()
+
+
 def _p3(spark: SparkSession, d: str) -> DataFrame:
     groups = splits.tie_groups(table(spark, d, "curator_training"), "pair_id", TIES, ["intent_class"])
     return splits.assign_splits(groups, "pair_id", "intent_class")
@@ -82,6 +110,32 @@ def p7_kept(spark: SparkSession, d: str) -> DataFrame:
     return _p7(spark, d).where("not over").select("pair_id")
 
 
+def p8_ids(spark: SparkSession, d: str) -> DataFrame:
+    return bpe.encode(once(table(spark, d, "documents"), "doc_id", ["text"], ["text"]), "doc_id", "text")
+
+
+def p8_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Documents, empty ones among them, and tokens per language."""
+    docs = once(table(spark, d, "documents"), "doc_id", ["text", "lang"], ["text"])
+    sizes = bpe.encode(docs, "doc_id", "text").select("doc_id", F.size("ids").alias("n"))
+    return docs.select("doc_id", "lang").join(sizes, "doc_id").groupBy("lang").agg(
+        F.count("*").alias("documents"), F.count_if(F.col("n") == 0).alias("empty"), F.sum("n").alias("tokens")
+    )
+
+
+def _p9(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    docs = once(table(spark, d, "documents"), "doc_id", ["text", "source"], ["text"])
+    return mixing.mixture(docs, table(spark, d, "mix_targets"), "doc_id", "text", "source")
+
+
+def p9_mixture(spark: SparkSession, d: str) -> DataFrame:
+    return _p9(spark, d)[0]
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    return _p9(spark, d)[1]
+
+
 _P7 = """WITH d AS (SELECT pair_id, max(repo) repo, max(nullif(lower(trim(commit_email)), '')) email, max(quality_score) q
   FROM diffs WHERE pair_id IS NOT NULL GROUP BY pair_id),
 n AS (SELECT count(*) // 50 AS n FROM d),
@@ -92,7 +146,7 @@ _OVER = "(coalesce(repo, '') <> '' AND a > n) OR (email IS NOT NULL AND b > n)"
 
 
 def queries() -> dict[str, Query]:
-    return {"p3_found": p3_found, "p3_splits": p3_splits, "p4_found": p4_found, "p4_groups": p4_groups, "p5_found": p5_found, "p5_report": p5_report, "p7_found": p7_found, "p7_kept": p7_kept}
+    return {"p2_found": p2_found, "p2_kinds": p2_kinds, "p2_redacted": p2_redacted, "p3_found": p3_found, "p3_splits": p3_splits, "p4_found": p4_found, "p4_groups": p4_groups, "p5_found": p5_found, "p5_report": p5_report, "p7_found": p7_found, "p7_kept": p7_kept, "p8_ids": p8_ids, "p8_counts": p8_counts, "p9_mixture": p9_mixture, "p9_shares": p9_shares}
 
 
 def oracle_sql() -> dict[str, str]:
