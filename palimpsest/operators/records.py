@@ -28,3 +28,10 @@ def fuller(df: DataFrame, key: str, columns: Sequence[str], skip: Sequence[str]
     rows = df.where(F.col(key).isNotNull()).select(key, F.struct(*columns).alias("row"), best.alias("best"))
     one = rows.groupBy(key).agg(F.max_by("row", "best").alias("row"))
     return one.select(key, *[F.col("row").getField(c).alias(c) for c in columns])
+
+
+def once(df: DataFrame, key: str, columns: Sequence[str], skip: Sequence[str] = ()) -> DataFrame:
+    """As fuller(), but rows move only if some key repeats: a first scan of the key column alone looks for repeats."""
+    if df.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1").isEmpty():
+        return df.where(F.col(key).isNotNull()).select(key, *columns)
+    return fuller(df, key, columns, skip)
