@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm import bpe, capping, mixing, neardup, overlap, secrets, splits
+from palimpsest.llm import bpe, capping, mixing, neardup, overlap, pii, secrets, splits
 from palimpsest.operators.records import fuller, once
 from palimpsest.session import materialize, table
 
@@ -16,6 +16,27 @@ Query = Callable[[SparkSession, str], DataFrame]
 TIES = ("repo", "skill_id", "skill_cluster_id")
 
 
+def _p1_texts(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "diffs").where("pair_id is not null")
+    parts = F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("text")) for c in ("pr_body", "after_content")]))
+    return rows.select("pair_id", parts.alias("p")).select("pair_id", "p.field", "p.text").where("text is not null and text <> ''")
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    # second deliveries hold the same texts or none, so the distinct rows are those of the fuller one
+    return pii.scan(_p1_texts(spark, d), ["pair_id", "field"]).select("pair_id", "field", "kind", "line_no").distinct()
+
+
+def p1_kinds(spark: SparkSession, d: str) -> DataFrame:
+    """Items and records with any, per field and kind."""
+    found = pii.scan(_p1_texts(spark, d), ["pair_id", "field"]).distinct()
+    return found.groupBy("field", "kind").agg(F.count("*").alias("items"), F.countDistinct("pair_id").alias("records"))
+
+
+def p1_redacted(spark: SparkSession, d: str) -> DataFrame:
+    return pii.redacted(_p1_texts(spark, d), ["pair_id", "field"]).distinct()
+
+
 def _p2_files(spark: SparkSession, d: str) -> DataFrame:
     """All texts that may hold credentials; exact repeats and second deliveries are told apart by the result's rows."""
     f = table(spark, d, "bundled").where("skill_id is not null").select("skill_id", F.explode("bundled_files").alias("f"))
@@ -146,7 +167,7 @@ _OVER = "(coalesce(repo, '') <> '' AND a > n) OR (email IS NOT NULL AND b > n)"
 
 
 def queries() -> dict[str, Query]:
-    return {"p2_found": p2_found, "p2_kinds": p2_kinds, "p2_redacted": p2_redacted, "p3_found": p3_found, "p3_splits": p3_splits, "p4_found": p4_found, "p4_groups": p4_groups, "p5_found": p5_found, "p5_report": p5_report, "p7_found": p7_found, "p7_kept": p7_kept, "p8_ids": p8_ids, "p8_counts": p8_counts, "p9_mixture": p9_mixture, "p9_shares": p9_shares}
+    return {"p1_found": p1_found, "p1_kinds": p1_kinds, "p1_redacted": p1_redacted, "p2_found": p2_found, "p2_kinds": p2_kinds, "p2_redacted": p2_redacted, "p3_found": p3_found, "p3_splits": p3_splits, "p4_found": p4_found, "p4_groups": p4_groups, "p5_found": p5_found, "p5_report": p5_report, "p7_found": p7_found, "p7_kept": p7_kept, "p8_ids": p8_ids, "p8_counts": p8_counts, "p9_mixture": p9_mixture, "p9_shares": p9_shares}
 
 
 def oracle_sql() -> dict[str, str]:
