@@ -149,6 +149,10 @@ def compose(r: random.Random, n: int, lex, tools: list[str]) -> list[tuple[str,
     out = []
     for _ in range(n):
         form = r.choice(_NEVER) if r.random() < 0.3 else r.choice(_FORMS)
+        if r.random() < 0.12:  # several items with little between them
+            form = r.choice(["", "Reach ", "- ", "see ", "Mail "]) + "".join(f"<{r.choice('NEPA')}>{r.choice([', ', '; ', ' | ', ' or ', ' / ', ' and ', ' - '])}" for _ in range(r.randint(1, 3))) + f"<{r.choice('NEPA')}>"
+        elif r.random() < 0.1:
+            form += " " + r.choice(_FORMS)
         text, spans, at = "", [], 0
         for m in re.finditer(r"<([NEPIAJwWTd])>", form):
             text += form[at : m.start()]
