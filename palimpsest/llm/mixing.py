@@ -154,8 +154,9 @@ def mixture(
 
     spark = docs.sparkSession
     drawn = spark.range(shards).mapInArrow(fill, "shard bigint, slot bigint, source string, repeat bigint, block bigint")
-    out = drawn.join(blocks, ["source", "block"]).select("shard", "slot", "source", "repeat", "block", "n_tokens", "ids")
-    light = drawn.join(blocks.select("source", "block", "n_tokens"), ["source", "block"])
+    # the planner cannot see how many slots a shard makes, so it must not broadcast them
+    out = drawn.hint("merge").join(blocks, ["source", "block"]).select("shard", "slot", "source", "repeat", "block", "n_tokens", "ids")
+    light = drawn.hint("merge").join(blocks.select("source", "block", "n_tokens"), ["source", "block"])
     got = light.groupBy("source").agg(F.count("*").alias("drawn_blocks"), F.max("repeat").alias("r"), F.sum("n_tokens").alias("drawn_tokens"))
     had = per_bucket.groupBy("source").agg(F.sum("b").alias("blocks"), F.sum("t").alias("tokens"))
     zero = F.lit(0)

@@ -153,6 +153,6 @@ def overlaps(evaluation: DataFrame, training: DataFrame, threshold: float = 0.8)
     )
     pairs = full.mapInArrow(_contain(threshold), "e bigint, t bigint, containment double, similarity double")
     return (
-        pairs.join(keys_e, "e").join(keys_t, "t").groupBy("key_e", "key_t")
+        pairs.hint("merge").join(keys_e, "e").join(keys_t, "t").groupBy("key_e", "key_t")
         .agg(F.max("containment").alias("containment"), F.max("similarity").alias("similarity"))
     )

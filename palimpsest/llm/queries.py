@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm import bpe, capping, mixing, neardup, overlap, pii, secrets, splits
+from palimpsest.llm import bpe, capping, mixing, neardup, overlap, pii, reading, secrets, splits
 from palimpsest.operators.records import fuller, once
 from palimpsest.session import materialize, table
 
@@ -157,6 +157,26 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return _p9(spark, d)[1]
 
 
+def _p10(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    docs = once(table(spark, d, "documents"), "doc_id", ["text", "lang", "source"], ["text"])
+    return docs.select("doc_id", "lang", "source"), reading.levels(docs.select("doc_id", "text"), table(spark, d, "reading_labels"))
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    docs, levels = _p10(spark, d)
+    return docs.where("lang = 'en'").select("doc_id").join(levels.where("band = 'advanced'").select("doc_id"), "doc_id")
+
+
+def p10_levels(spark: SparkSession, d: str) -> DataFrame:
+    return _p10(spark, d)[1].select("doc_id", F.round("level", 6).alias("level"), "band")
+
+
+def p10_profile(spark: SparkSession, d: str) -> DataFrame:
+    """Documents per source and band, with the mean level."""
+    docs, levels = _p10(spark, d)
+    return docs.join(levels, "doc_id").groupBy("source", "band").agg(F.count("*").alias("documents"), F.round(F.avg("level"), 4).alias("mean_level"))
+
+
 _P7 = """WITH d AS (SELECT pair_id, max(repo) repo, max(nullif(lower(trim(commit_email)), '')) email, max(quality_score) q
   FROM diffs WHERE pair_id IS NOT NULL GROUP BY pair_id),
 n AS (SELECT count(*) // 50 AS n FROM d),
@@ -167,7 +187,8 @@ _OVER = "(coalesce(repo, '') <> '' AND a > n) OR (email IS NOT NULL AND b > n)"
 
 
 def queries() -> dict[str, Query]:
-    return {"p1_found": p1_found, "p1_kinds": p1_kinds, "p1_redacted": p1_redacted, "p2_found": p2_found, "p2_kinds": p2_kinds, "p2_redacted": p2_redacted, "p3_found": p3_found, "p3_splits": p3_splits, "p4_found": p4_found, "p4_groups": p4_groups, "p5_found": p5_found, "p5_report": p5_report, "p7_found": p7_found, "p7_kept": p7_kept, "p8_ids": p8_ids, "p8_counts": p8_counts, "p9_mixture": p9_mixture, "p9_shares": p9_shares}
+    return {"p1_found": p1_found, "p1_kinds": p1_kinds, "p1_redacted": p1_redacted, "p2_found": p2_found, "p2_kinds": p2_kinds, "p2_redacted": p2_redacted, "p3_found": p3_found, "p3_splits": p3_splits, "p4_found": p4_found, "p4_groups": p4_groups, "p5_found": p5_found, "p5_report": p5_report, "p7_found": p7_found, "p7_kept": p7_kept, "p8_ids": p8_ids, "p8_counts": p8_counts, "p9_mixture": p9_mixture, "p9_shares": p9_shares,
+        "p10_found": p10_found, "p10_levels": p10_levels, "p10_profile": p10_profile}
 
 
 def oracle_sql() -> dict[str, str]:
