@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm import bpe, capping, mixing, neardup, overlap, pii, reading, secrets, splits
+from palimpsest.llm import bpe, capping, mixing, neardup, overlap, pii, reading, residue, secrets, splits
 from palimpsest.operators.records import fuller, once
 from palimpsest.session import materialize, table
 
@@ -177,6 +177,27 @@ def p10_profile(spark: SparkSession, d: str) -> DataFrame:
     return docs.join(levels, "doc_id").groupBy("source", "band").agg(F.count("*").alias("documents"), F.round(F.avg("level"), 4).alias("mean_level"))
 
 
+def _p6(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "diffs").where("pair_id is not null")
+    return rows.select("pair_id", F.col("repo").alias("host"), F.col("after_content").alias("text"))
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    # all deliveries of a record hold the same text, or none
+    return residue.mark(_p6(spark, d), "pair_id").where("lines > 0").select("pair_id").distinct()
+
+
+def p6_clean(spark: SparkSession, d: str) -> DataFrame:
+    """The records without residue."""
+    return residue.mark(_p6(spark, d), "pair_id").groupBy("pair_id").agg(F.sum("lines").alias("n")).where("n = 0").select("pair_id")
+
+
+def p6_validation(spark: SparkSession, d: str) -> DataFrame:
+    """What the classifier reaches on repositories that took no part in its training, against the weak labels."""
+    figures = residue.train(_p6(spark, d))[2]
+    return spark.createDataFrame([(k, round(float(v), 4)) for k, v in figures.items()], "figure string, value double")
+
+
 _P7 = """WITH d AS (SELECT pair_id, max(repo) repo, max(nullif(lower(trim(commit_email)), '')) email, max(quality_score) q
   FROM diffs WHERE pair_id IS NOT NULL GROUP BY pair_id),
 n AS (SELECT count(*) // 50 AS n FROM d),
@@ -187,7 +208,7 @@ _OVER = "(coalesce(repo, '') <> '' AND a > n) OR (email IS NOT NULL AND b > n)"
 
 
 def queries() -> dict[str, Query]:
-    return {"p1_found": p1_found, "p1_kinds": p1_kinds, "p1_redacted": p1_redacted, "p2_found": p2_found, "p2_kinds": p2_kinds, "p2_redacted": p2_redacted, "p3_found": p3_found, "p3_splits": p3_splits, "p4_found": p4_found, "p4_groups": p4_groups, "p5_found": p5_found, "p5_report": p5_report, "p7_found": p7_found, "p7_kept": p7_kept, "p8_ids": p8_ids, "p8_counts": p8_counts, "p9_mixture": p9_mixture, "p9_shares": p9_shares,
+    return {"p1_found": p1_found, "p1_kinds": p1_kinds, "p1_redacted": p1_redacted, "p2_found": p2_found, "p2_kinds": p2_kinds, "p2_redacted": p2_redacted, "p3_found": p3_found, "p3_splits": p3_splits, "p4_found": p4_found, "p4_groups": p4_groups, "p5_found": p5_found, "p5_report": p5_report, "p6_found": p6_found, "p6_clean": p6_clean, "p6_validation": p6_validation, "p7_found": p7_found, "p7_kept": p7_kept, "p8_ids": p8_ids, "p8_counts": p8_counts, "p9_mixture": p9_mixture, "p9_shares": p9_shares,
         "p10_found": p10_found, "p10_levels": p10_levels, "p10_profile": p10_profile}
 
 
