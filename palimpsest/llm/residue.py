@@ -50,7 +50,7 @@ FIELD = re.compile(
     r"|(?i:<(?:your|insert|add|enter|describe|replace|todo|name of|put)\b[^<>]*>|\[(?:your|insert|add|enter|describe|replace|todo|name of|tool name|purpose|put|write|fill)\b[^\]]*\](?!\())"
 )
 FILLER = re.compile(
-    r"(?i)^\W*(?:todo|tbd|fixme|tbc|xxx)\b(?:\W|$)|^xxx .* xxx$|lorem ipsum|dolor sit amet|consectetur adipiscing|\bgoes here\b|^\W*replace this\b|^\W*(?:write|add) (?:one|a few|your|some)\b.*\b(?:sentences?|description|text|content)\b|^\W*brief description of|coming soon\W*$|under construction\W*$|placeholder text|^\W*(?:sample|dummy|example) text\W*$|asdf|blah blah|^\W*(?:undefined|null|nan|none|n/a|\[object object\]|loading)\W*$|^\W*(?:your|insert) .{2,40} here\W*$|text missing"
+    r"(?i)^[\W_]*(?:todo|tbd|fixme|tbc|xxx)\b(?:\W|$)|^xxx .* xxx$|lorem ipsum|dolor sit amet|consectetur adipiscing|\bgoes here\b|^[\W_]*replace this\b|^[\W_]*(?:write|add) (?:one|a few|your|some)\b.*\b(?:sentences?|description|text|content)\b|^[\W_]*brief description of|coming soon\W*$|under construction\W*$|placeholder text|^[\W_]*(?:sample|dummy|example) text\W*$|asdf|blah blah|^[\W_]*(?:undefined|null|nan|none|n/a|\[object object\]|loading)\W*$|^[\W_]*(?:your|insert) .{2,40} here\W*$|text missing"
     r"|(?:\b(?:lorem|ipsum|dolor|amet|aliqua|tempor|incididunt|labore|magna|veniam|nostrud|ullamco|nisi|aliquip|commodo|consequat|duis|aute|irure|reprehenderit|voluptate|velit|esse|cillum|fugiat|nulla|pariatur|excepteur|eiusmod|minim|adipiscing|consectetur|sed|sit|elit|do|et|ut|ex|ea|ad|in|id)\b\W*){6}"
 )
 #: Without one of these no pattern above can match; looked for first.
