@@ -12,7 +12,7 @@ from palimpsest.functions.text import strip, text_of
 
 # Intents that are no edit to learn from, and commit subjects that say nothing.
 NO_EDIT = ("whitespace", "merge", "micro")
-GENERIC = ("update", "fix", "wip", "minor", "change", "changes", "edit", "edits", "tweak", "tweaks", "misc")
+GENERIC = ("wip", "update", "fix", "fixes", "edit", "stuff", "changes", "misc", "various", "minor", "tweak", "tweaks", ".", "..", "wip.")
 
 
 def has_none(tags: Column, names: Sequence[str]) -> Column:
