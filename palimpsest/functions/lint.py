@@ -85,12 +85,16 @@ def fence_rule(c: Column) -> Column:
     return F.transform(bare, lambda x: finding("W004-codeblock-no-lang", "warning", "A code fence without a language", x["n"], "Name the language after the fence"))
 
 
+def _matches(pattern: str) -> Callable[[Column], Column]:
+    return lambda x: x.rlike("(?i)" + pattern)
+
+
 def outdated_rules(c: Column) -> Column:
     """The first line of each reference that has aged."""
     lines = F.split(c, "\n")
     out = []
     for pattern, rule in OUTDATED:
-        line = F.array_position(F.transform(lines, lambda x, p=pattern: x.rlike("(?i)" + p)), True)
+        line = F.array_position(F.transform(lines, _matches(pattern)), True)
         # the array is gone through only for texts that match at all
         out.append(only_if(c.rlike("(?i)" + pattern), finding(rule, "info", "A reference that may have aged", line, "Check the current name")))
     return F.concat(*out)

@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from palimpsest.functions.lint import lint
 from palimpsest.functions.text import strip, text_of
@@ -20,7 +21,7 @@ def exact(pred: Column, gold: Column) -> Column:
     return F.when(strip(text_of(pred)) == strip(text_of(gold)), 1.0).otherwise(0.0)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def edit_ratio(pred: pd.Series, gold: pd.Series) -> pd.Series:
     """Share of matching characters by longest matching blocks, with the usual treatment of frequent characters."""
     return pd.Series([difflib.SequenceMatcher(None, p or "", g or "").ratio() for p, g in zip(pred, gold, strict=True)], dtype=float)
@@ -46,7 +47,7 @@ def rouge(pred: str | None, gold: str | None) -> float:
     return 2 * n / (len(p) + len(g))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def rouge_l(pred: pd.Series, gold: pd.Series) -> pd.Series:
     """F1 of the longest common subsequence of words; 0 if either has none."""
     return pd.Series([rouge(p, g) for p, g in zip(pred, gold, strict=True)], dtype=float)
