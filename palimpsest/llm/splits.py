@@ -31,10 +31,10 @@ SHARD = 20_000
 
 def tie_groups(df: DataFrame, key: str, ties: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:
     """(key, group_id, extra): group_id is the smallest key of all records tied directly or through others."""
-    once = materialize(fuller(df, key, [*ties, *extra]))
+    once = materialize(fuller(df, key, [*dict.fromkeys([*ties, *extra])]))
     tokens = [F.when(F.col(c) != "", F.concat(F.lit(f"{i}:"), F.col(c))).alias(f"t{i}") for i, c in enumerate(ties)]
     rows = once.select(key, *extra, F.array_compact(F.array(*tokens)).alias("tokens"))
-    pairs = rows.select(F.col("tokens")[0].alias("src"), F.explode("tokens").alias("dst")).distinct()
+    pairs = rows.select(F.get("tokens", F.lit(0)).alias("src"), F.explode("tokens").alias("dst")).distinct()
     comp = connected_components(pairs)
     first = F.get("tokens", F.lit(0))
     # a token that is tied to no other is its own component
