@@ -23,8 +23,8 @@ def write_version(df: DataFrame, table: str, rows_per_file: int = 0) -> str:
     if rows_per_file:
         w = w.option("maxRecordsPerFile", rows_per_file)
     w.parquet(f"{table}/{version}")
-    pointer, fs, jvm = _fs(spark, f"{table}/_current")
-    temp = jvm.org.apache.hadoop.fs.Path(f"{table}/_current-{version}")
+    pointer, fs, jvm = _fs(spark, f"{table}/CURRENT")
+    temp = jvm.org.apache.hadoop.fs.Path(f"{table}/CURRENT-{version}")
     out = fs.create(temp, True)
     out.write(bytearray(version.encode()))
     out.close()
@@ -34,7 +34,7 @@ def write_version(df: DataFrame, table: str, rows_per_file: int = 0) -> str:
 
 
 def read_current(spark: SparkSession, table: str) -> DataFrame:
-    version = spark.read.text(f"{table}/_current", wholetext=True).first()[0].strip()
+    version = spark.read.text(f"{table}/CURRENT", wholetext=True).first()[0].strip()
     return spark.read.parquet(f"{table}/{version}")
 
 

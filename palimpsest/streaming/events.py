@@ -10,8 +10,9 @@ from palimpsest.operators.dims import aligned_union
 
 def windowed_counts(events: DataFrame, width: str = "1 hour", late: str | None = None) -> DataFrame:
     """(start, event_type, n, total) per window, of a table or a stream; late: how long a stream waits for late events."""
-    if events.isStreaming and late:
-        events = events.withWatermark("ts", late)
+    if events.isStreaming:  # watermarks want instants
+        events = events.withColumn("ts", F.col("ts").cast("timestamp"))
+        events = events.withWatermark("ts", late) if late else events
     out = events.groupBy(F.window("ts", width).alias("w"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
     return out.select(F.col("w.start").alias("start"), "event_type", "n", "total")
 
@@ -29,7 +30,7 @@ def run_available(df: DataFrame, out: str, checkpoint: str, mode: str = "append"
 
 def first_deliveries(stream: DataFrame, key: str, late: str = "1 day", time: str = "ts") -> DataFrame:
     """Rows of a stream whose key was not met within the watermark."""
-    return stream.withWatermark(time, late).dropDuplicatesWithinWatermark([key])
+    return stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late).dropDuplicatesWithinWatermark([key])
 
 
 def append_new(spark, target: str, key: str):
