@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from palimpsest.llm import bpe, capping, mixing, neardup, overlap, pii, reading, residue, secrets, splits
 from palimpsest.operators.records import fuller, once
-from palimpsest.session import materialize, table
+from palimpsest.session import materialize, spread, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,7 +19,7 @@ TIES = ("repo", "skill_id", "skill_cluster_id")
 def _p1_texts(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "diffs").where("pair_id is not null")
     parts = F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("text")) for c in ("pr_body", "after_content")]))
-    return rows.select("pair_id", parts.alias("p")).select("pair_id", "p.field", "p.text").where("text is not null and text <> ''")
+    return spread(rows.select("pair_id", "pr_body", "after_content")).select("pair_id", parts.alias("p")).select("pair_id", "p.field", "p.text").where("text is not null and text <> ''")
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -48,7 +48,7 @@ def _p2_files(spark: SparkSession, d: str) -> DataFrame:
         F.lit("diffs").alias("source_table"), F.col("pair_id").alias("record_id"), F.lit("after_content").alias("file_path"),
         F.col("after_content").alias("content"), F.lit(False).alias("is_file"),
     )
-    return files.unionByName(texts).where("content is not null and content <> ''")
+    return spread(files).unionByName(spread(texts)).where("content is not null and content <> ''")
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -132,7 +132,7 @@ def p7_kept(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
-    return bpe.encode(once(table(spark, d, "documents"), "doc_id", ["text"], ["text"]), "doc_id", "text")
+    return bpe.encode(spread(once(table(spark, d, "documents"), "doc_id", ["text"], ["text"])), "doc_id", "text")
 
 
 def p8_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -158,7 +158,7 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _p10(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    docs = once(table(spark, d, "documents"), "doc_id", ["text", "lang", "source"], ["text"])
+    docs = spread(once(table(spark, d, "documents"), "doc_id", ["text", "lang", "source"], ["text"]))
     return docs.select("doc_id", "lang", "source"), reading.levels(docs.select("doc_id", "text"), table(spark, d, "reading_labels"))
 
 
@@ -179,7 +179,7 @@ def p10_profile(spark: SparkSession, d: str) -> DataFrame:
 
 def _p6(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "diffs").where("pair_id is not null")
-    return rows.select("pair_id", F.col("repo").alias("host"), F.col("after_content").alias("text"))
+    return spread(rows.select("pair_id", F.col("repo").alias("host"), F.col("after_content").alias("text")))
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:

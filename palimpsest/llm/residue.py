@@ -172,7 +172,7 @@ def scores(w: np.ndarray, bias: float, items: list[tuple[str, str]]) -> np.ndarr
     return np.bincount(o, w[f], len(items)) + bias
 
 
-def fit(rows: list[tuple[str, str, int]], epochs: int = 25, l2: float = 1e-5, rate: float = 0.3, batch: int = 256, seed: int = 5) -> tuple[np.ndarray, float]:
+def fit(rows: list[tuple[str, str, int]], epochs: int = 14, l2: float = 1e-5, rate: float = 0.3, batch: int = 256, seed: int = 5) -> tuple[np.ndarray, float]:
     """Weights and bias of a logistic classifier, by batches with adaptive rates; a positive weighs as much as POSITIVE others."""
     w, bias = np.zeros(1 << BITS), -1.0
     if not rows or not any(y for *_, y in rows):
@@ -250,12 +250,14 @@ def held_out(host: str | None) -> bool:
     return xxhash.xxh3_64_intdigest("host " + (host or "")) % HELD_OUT == 0
 
 
-def train(records: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, float, dict[str, float]]:
-    """Weights, bias, and what the classifier reaches on hosts it has not seen."""
+def train(records: DataFrame, sample: int = SAMPLE, validate: bool = True) -> tuple[np.ndarray, float, dict[str, float]]:
+    """Weights, bias, and, if asked for, what the classifier reaches on hosts it has not seen."""
     take = lambda df: sorted((r[0] or "", r[1], r[2], r[3]) for r in df.collect())
     rows = take(sample_lines(records, sample))
     model = fit([r[1:] for r in rows if not held_out(r[0])])
     rows += take(sample_lines(records, sample, model))
+    if not validate:
+        return *fit([r[1:] for r in rows]), {}
     w, bias = fit([r[1:] for r in rows if not held_out(r[0])])  # for the figures; what marks is fitted on all
     test = [r for r in rows if held_out(r[0])]
     said = scores(w, bias, [r[1:3] for r in test]) > 0
@@ -267,7 +269,7 @@ def train(records: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, float,
 
 def mark(records: DataFrame, key: str, sample: int = SAMPLE) -> DataFrame:
     """records (key, host, text) -> (key, lines): how many content lines of each text are residue."""
-    w, bias, _ = train(records, sample)
+    w, bias, _ = train(records, sample, validate=False)
     share = records.sparkSession.sparkContext.broadcast((w.astype(np.float32), float(bias)))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
