@@ -127,7 +127,7 @@ def overlaps(evaluation: DataFrame, training: DataFrame, threshold: float = 0.8)
     """
 
     def sides(df: DataFrame, key: str, name: str):
-        # equal texts share an id; two hashes of 64 bits would have to collide together with the length to merge unlike ones
+        # equal texts share an id of 64 bits; n unlike texts have a chance of n^2 / 2^65 that two of them share one
         rows = df.where("text is not null and text <> ''").select(key, F.xxhash64("text", F.length("text")).alias("id"), "text")
         texts = materialize(rows.groupBy("id").agg(F.min("text").alias("text")))
         return materialize(rows.select(key, "id").distinct().withColumnRenamed("id", name)), texts

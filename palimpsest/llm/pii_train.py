@@ -29,6 +29,7 @@ PHONE = re.compile(
 )
 IDS = re.compile(
     r"(?<![\w./-])(?:\d{3}-\d{2}-\d{4}|[A-Z]{2} ?\d{2} ?\d{2} ?\d{2} ?[A-D]|\d{3}\.\d{3}\.\d{3}-\d{2}|X[A-Z]\d{7})(?![\w-])"
+    r"|(?<![\w+ ])\d{2} \d{3} \d{3} \d{3}(?![\w ]*\d)|(?<=[,;])9\d{8}(?=\s*(?:[,;]|$))"
     r"|(?i:(?<=ssn )|(?<=ssn: )|(?<=ssn:)|(?<=security no\. )|(?<=security number: ))\d{9}(?!\w)|(?i:(?<=tax id )|(?<=tax number )|(?<=steuer-id ))\d{2} \d{3} \d{3} \d{3}"
 )
 _TOWN = r"[A-Z]\w+(?: [A-Z]{1,2}\d{1,2} \d[A-Z]{2}| \d{5})?"
@@ -140,7 +141,7 @@ def _address(r: random.Random) -> str:
     return f"{n} {stem} {r.choice('Street Road Lane'.split())}"
 
 
-_FORMS = """<N> asked for a <w> that can be paused.|Thanks to <N> for the <w> idea.|Reviewed-by: <N>|Co-authored-by: <N> <<E>>|author: <N> <<E>>|# maintainer: <N> <<E>>|- Name: <N>|- Mail: <E>|- Phone: <P>|Questions about the <w> go to <E>.|Write to <E> when the <w> breaks.|Ask <E> for access to the <w>.|cc <E>; <E>|The <w> owner can be reached by [mail](mailto:<E>).|<N>|<A>|Tested by <N> and <N> on the <w>.|On Tuesday <N> wrote that the <w> was <w>.|As <N> pointed out in the call, the <w> was <w>.|Pairing with <N> helped to find the <w>.|This follows the <w> that <N> drew on the board.|> <N>, <E>|- <N> (<E>)|<N> (<P>) owns the <w>.|<N> can be called on <P> about the <w>.|Call the duty phone <P> if the <w> stays red.|The <w> hotline is <P>.|Tel/SMS <P>|Outside hours use <P> and ask for the <w> shift.|Rückfragen bitte an <N>, Tel. <P>.|Pour le <w>, appeler <N> au <P>.|Dudas sobre <w>: <N>, tfno. <P>|The sample form had <J> <I> in the first <w>, please blank it.|A user named <N> sent <J> <I> and lives at <A>; mask all of that.|It choked on <J> <I>. Start with the <w>.|    <N>;<I>;<w>;17|42,<N>,<I>|  "customer": "<N>",|  "phone": "<P>",|  "street": "<A>"|  "email": "<E>",|  oncall: "<P>"|  contact: <E>|<!-- asked <N>, tel. <P>, about the <w> -->|# ask <N> before changing the <w>|// owner: <N> <<E>>|Ship the <w> to <A>.|The <w> stands at <A> for now.|Delivery note: <A>, ring <P> at the gate.|Invoices for the <w> are posted to <A>, please keep the receipt.|<w> team, <A>|Dr. <N> owns the <w>|Reported by <N>|Suggested-by: <N>|Contact <N> at <P> or <E>|Signed-off-by: <N> <<E>>|ping <N> on Monday|If nobody answers → <P> (voice) or <P> (text).|met with <N> about the <w>|Owner: <N>, <A>""".split("|") + ["| <w> owner | <E> |", "| <N> | <P> |", "| <w> | <N> | <E> |"]
+_FORMS = """<N> asked for a <w> that can be paused.|Thanks to <N> for the <w> idea.|Reviewed-by: <N>|Co-authored-by: <N> <<E>>|author: <N> <<E>>|# maintainer: <N> <<E>>|- Name: <N>|- Mail: <E>|- Phone: <P>|Questions about the <w> go to <E>.|Write to <E> when the <w> breaks.|Ask <E> for access to the <w>.|cc <E>; <E>|The <w> owner can be reached by [mail](mailto:<E>).|<N>|<A>|Tested by <N> and <N> on the <w>.|On Tuesday <N> wrote that the <w> was <w>.|As <N> pointed out in the call, the <w> was <w>.|Pairing with <N> helped to find the <w>.|This follows the <w> that <N> drew on the board.|> <N>, <E>|- <N> (<E>)|<N> (<P>) owns the <w>.|<N> can be called on <P> about the <w>.|Call the duty phone <P> if the <w> stays red.|The <w> hotline is <P>.|Tel/SMS <P>|Outside hours use <P> and ask for the <w> shift.|Rückfragen bitte an <N>, Tel. <P>.|Pour le <w>, appeler <N> au <P>.|Dudas sobre <w>: <N>, tfno. <P>|The sample form had <J> <I> in the first <w>, please blank it.|A user named <N> sent <J> <I> and lives at <A>; mask all of that.|It choked on <J> <I>. Start with the <w>.|    <N>;<I>;<w>;17|42,<N>,<I>|<d>,<N>,<I>|<N>;<I>;<w>|It choked on <J> <I>.|A user sent <J> <I> and wrote to us.|  "customer": "<N>",|  "phone": "<P>",|  "street": "<A>"|  "email": "<E>",|  oncall: "<P>"|  contact: <E>|<!-- asked <N>, tel. <P>, about the <w> -->|# ask <N> before changing the <w>|// owner: <N> <<E>>|Ship the <w> to <A>.|The <w> stands at <A> for now.|Delivery note: <A>, ring <P> at the gate.|Invoices for the <w> are posted to <A>, please keep the receipt.|<w> team, <A>|Dr. <N> owns the <w>|Reported by <N>|Suggested-by: <N>|Contact <N> at <P> or <E>|Signed-off-by: <N> <<E>>|ping <N> on Monday|If nobody answers → <P> (voice) or <P> (text).|met with <N> about the <w>|Owner: <N>, <A>""".split("|") + ["| <w> owner | <E> |", "| <N> | <P> |", "| <w> | <N> | <E> |"]
 _FILL = "route parser ledger index cache gateway schema draft session counter bridge matrix panel quiet stable remote".split()
 _NEVER = """Commits by noreply@forge.example are made by the <w> bot.|Mail templates use support@example.com or you@<w>.example as the sender of the <w>.|Clone it with `git@forge.example:<w>/<w>.git` and pin `@<w>/<w>@2.1.7`.|Ask @<w>-<w> in the channel, handles are enough.|<T> reads the <w> and writes a <w> next to the <w>.|<T> and <T> share the <w>, so review both when the <w> changes.|Thanks to <T> the <w> is stable again; reviewed by the <w> team.|See Chapter 15, <W> <W>, for the <w>.|# <W> <W>|## <W> <W>|Range 10.<d>.0.0/16 and date 2024-08-0<d> are <w> values.|The checksum <d><d><d><d><d><d> and the epoch 17<d><d><d><d> must match the <w>.|Build 2025<d><d>.<d> took <d> ms; the <w> listens on ports 5433-5586.|postgres://svc<w>:<w><d>@host.internal:5432/<w>|scp <w>.tar <w>@host.lan:/srv/|curl -u svc-<w>:<w>9 https://<w>.home/<w>.tgz|version <d>.<d>.<d> of the <w>|2023-11-0<d>T07:29:18+02:00|id <d><d><d>-<d>""".split("|") + ["| <w> | <d><d><d> |"]
 
