@@ -82,7 +82,7 @@ def conditional_relabel(spark, d):
     from palimpsest.plans.revisions import with_intent
 
     df = with_intent(revisions(spark, d, ["commit_subject", "is_initial", "lines_added", "lines_removed", "char_delta", "intent_source"]))
-    labels = df.where("pair_id < '8'").select("pair_id", F.lit("other").alias("label"))
+    labels = df.where("coalesce(commit_subject, '') <> ''").select("pair_id", F.lit("other").alias("label"))
     new = {"intent_class": F.col("label"), "intent_confidence": F.lit(0.85).cast("float"), "intent_source": F.lit("llm")}
     out = dims.relabel(df, labels, "pair_id", F.col("intent_class") == "unknown", new)
     return out.groupBy("intent_class", F.round(F.col("intent_confidence").cast("double"), 2).alias("confidence")).agg(F.count("*").alias("n"))
@@ -182,7 +182,7 @@ SQL = {
     "pr_join": _PR_SQL + " SELECT * FROM m",
     "pr_match_stats": _PR_SQL + " SELECT pr_match_kind, count(*) AS n FROM m GROUP BY 1",
     "repo_metadata_join": f"WITH {REV}, {REPOS.replace('SELECT repo, license_spdx, stars, pushed_at, true', 'SELECT repo, license_spdx, fetch_status, true')} SELECT CASE WHEN known IS NULL THEN 'not_attempted' ELSE rp.fetch_status END AS status, rp.license_spdx IS NOT NULL AS licensed, count(*) AS n FROM rev LEFT JOIN rp USING (repo) GROUP BY 1, 2",
-    "conditional_relabel": f"WITH {REV}, {KIND} SELECT intent_class, confidence, count(*) AS n FROM (SELECT CASE WHEN k = 'unknown' AND pair_id < '8' THEN 'other' ELSE k END AS intent_class, CAST(CASE WHEN k = 'unknown' AND pair_id < '8' THEN 0.85 ELSE conf END AS DOUBLE) AS confidence FROM kind) GROUP BY 1, 2",
+    "conditional_relabel": f"WITH {REV}, {KIND} SELECT intent_class, confidence, count(*) AS n FROM (SELECT CASE WHEN k = 'unknown' AND s <> '' THEN 'other' ELSE k END AS intent_class, CAST(CASE WHEN k = 'unknown' AND s <> '' THEN 0.85 ELSE conf END AS DOUBLE) AS confidence FROM kind) GROUP BY 1, 2",
     "bundled_counts": f"WITH {_BUNDLES} SELECT skill_id, CAST(coalesce(len(bundled_files), 0) AS INT) AS files, CAST(coalesce(len(list_filter(bundled_files, lambda f: f.content IS NOT NULL)), 0) AS INT) AS texts, CAST(coalesce(list_sum(list_transform(bundled_files, lambda f: f.size)), 0) AS BIGINT) AS bytes FROM b",
     "bundled_prefix_join": f"WITH {_BUNDLES}, f AS (SELECT DISTINCT repo, CASE WHEN skill_dir <> '' THEN skill_dir || '/' ELSE '' END || p AS path FROM (SELECT repo, skill_dir, unnest(list_transform(bundled_files, lambda f: f.path)) AS p FROM b WHERE skill_dir IS NOT NULL AND repo IS NOT NULL)) SELECT f.repo, f.path, min(g.skill_dir) AS held_by FROM f JOIN (SELECT DISTINCT repo, skill_dir FROM b WHERE skill_dir IS NOT NULL) g ON g.repo = f.repo AND ((g.skill_dir <> '' AND starts_with(f.path, g.skill_dir || '/')) OR (g.skill_dir = '' AND NOT contains(f.path, '/'))) GROUP BY 1, 2",
     "skill_names": r"SELECT DISTINCT skill_path, coalesce(string_split(skill_path, '/')[len(string_split(skill_path, '/')) - 1], '') AS directory, string_split(skill_path, '/')[-1] AS base, lower(string_split(skill_path, '/')[-1]) = '.cursorrules' OR regexp_matches(lower(string_split(skill_path, '/')[-1]), '^\.cursorrules.*\.(md|txt|mdc)$') OR (list_contains(string_split(lower(skill_path), '/'), '.cursor') AND list_contains(string_split(lower(skill_path), '/'), 'rules') AND regexp_matches(lower(skill_path), '\.(mdc|md)$')) AS rule, lower(string_split(skill_path, '/')[-1]) = 'skill.md' AS skill FROM bundled WHERE skill_path IS NOT NULL",

@@ -104,6 +104,16 @@ def eval_summary(spark, d):
     return g.select(F.coalesce("intent_class", F.lit("all")).alias("intent_class"), "n", "exact", "ratio")
 
 
+def eval_baselines(spark, d):
+    """The two baselines over all evaluable edits: exact match, longest common subsequence and lint delta."""
+    from palimpsest.plans import evaluation
+
+    edits = _edits(spark, d).withColumn("intent_text", F.col("said"))
+    both = [evaluation.predict(edits, evaluation.resolve(m), m) for m in evaluation.BASELINES]
+    chosen = {k: metrics.METRICS[k] for k in ("exact_match", "rouge_l", "linter_delta")}
+    return evaluation.summary(evaluation.scored(both[0].unionByName(both[1]), chosen))
+
+
 def prompt_render(spark, d):
     text = F.replace(F.replace(F.lit(_PROMPT), F.lit("{before}"), F.col("before_content")), F.lit("{intent}"), F.col("said"))
     return _edits(spark, d).select("pair_id", F.sha2(text, 256).alias("digest"))
@@ -118,7 +128,7 @@ def fence_strip(spark, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        lint_findings, lint_report, shingle_counts, near_dup_clusters, cluster_stats, cluster_join, vector_topk, vector_clusters, metric_exact, metric_edit, metric_rouge, metric_lint_delta, eval_summary,
+        lint_findings, lint_report, shingle_counts, near_dup_clusters, cluster_stats, cluster_join, vector_topk, vector_clusters, metric_exact, metric_edit, metric_rouge, metric_lint_delta, eval_summary, eval_baselines,
         prompt_render, fence_strip,
     )
 }

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from palimpsest.operators import chain, dims, minhash, subset, vectors
 from palimpsest.operators.components import connected_components
 from palimpsest.operators.records import fuller, once
-from palimpsest.sources import archives, files, githistory, sinks
+from palimpsest.plans import evaluation
+from palimpsest.sources import archives, files, githistory, paged, sinks
 from palimpsest.streaming import events
 
 
@@ -186,6 +187,40 @@ def test_git_history(spark, tmp_path):
     assert githistory.numstat("-\t-\tx") == (0, 0) and githistory.log_records("a\x1fb\x1e") == []
 
 
+def test_paged_sources(spark):
+    def fetch(key, page):
+        if key == "gone":
+            return 404, []
+        if key == "down":
+            return 500, []
+        return 200, [{"n": page * 10 + i} for i in range(2 if page < 3 else 1)]
+
+    keys = spark.createDataFrame([("a",), ("gone",), ("down",), ("a",), (None,)], "k string")
+    how = {"page_size": 2, "retries": 1, "pause": 0.0}
+    got = {x["key"]: (x["status"], x["n_items"]) for x in paged.pages(keys, "k", fetch, **how).collect()}
+    assert got == {"a": ("ok", 5), "gone": ("not_found", 0), "down": ("error", 0)}
+    held = paged.pages(keys, "k", fetch, **how).where("key <> 'a'")
+    again = {x["key"]: x["status"] for x in paged.refreshed(held, keys.where("k is not null"), "k", lambda k, p: (200, []), **how).collect()}
+    assert again == {"a": "ok", "gone": "not_found", "down": "ok"}
+
+
+def test_evaluation(spark):
+    rows = [("1", "fix", "say b", "a", "a"), ("2", "fix", "x", "a b", "a c"), ("3", None, "boom", "a", "a")]
+    edits = spark.createDataFrame(rows, "pair_id string, intent_class string, intent_text string, before_content string, after_content string")
+
+    def fragile(before, said):
+        if said == "boom":
+            raise RuntimeError("no answer")
+        return before
+
+    evaluation.PROVIDERS["stub"] = lambda name: fragile
+    p = evaluation.predict(edits, evaluation.resolve("stub:x"), "stub:x")
+    got = {x["intent_class"]: x for x in evaluation.summary(evaluation.scored(p, {"exact": evaluation.METRICS["exact_match"]})).collect()}
+    assert (got["all"]["n"], got["all"]["n_ok"], got["all"]["exact"]) == (3, 2, 0.5) and got["unknown"]["n_ok"] == 0
+    with pytest.raises(ValueError):
+        evaluation.resolve("nobody:x")
+
+
 def test_streams(spark, data, tmp_path):
     batch = spark.read.parquet(f"{data}/events.parquet")
     stream = events.read_stream(spark, data, batch.schema, "events.parquet")
