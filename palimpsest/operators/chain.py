@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from palimpsest.session import materialize
+
 
 def instant(c: Column | str) -> Column:
     """ISO text with any offset as a timestamp, null if it is none."""
@@ -60,7 +62,14 @@ def new_content(incoming: DataFrame, known: DataFrame, key: str, order: Sequence
 
 
 def dense_ids(df: DataFrame, group: str, order: str, prefix: str, width: int = 7) -> DataFrame:
-    """(group, id): prefix and a zero-padded number by first appearance. One row per group is ordered, in one task."""
+    """(group, id): prefix and a zero-padded number by first appearance. The groups are sorted over all tasks; each task's rows
+    are numbered on from the sum of the tasks before it, a table of one row per task."""
     first = df.groupBy(group).agg(F.min(order).alias("__o"))
-    n = F.row_number().over(Window.orderBy("__o", group)) - 1
-    return first.select(group, F.concat(F.lit(prefix), F.lpad(n.cast("string"), width, "0")).alias("id"))
+    # the id Spark gives holds the task in its upper bits and the place within it in the lower 33
+    rows = materialize(first.orderBy("__o", group).select(group, F.monotonically_increasing_id().alias("m")))
+    rows = rows.select(group, F.shiftright("m", 33).alias("task"), F.col("m").bitwiseAND(F.lit((1 << 33) - 1)).alias("place"))
+    w = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    begin = rows.groupBy("task").count().select("task", F.coalesce(F.sum("count").over(w), F.lit(0)).alias("begin"))
+    n = (F.col("begin") + F.col("place")).cast("string")
+    # longer numbers than the width keep all their digits
+    return rows.join(begin, "task").select(group, F.concat(F.lit(prefix), F.when(F.length(n) < width, F.lpad(n, width, "0")).otherwise(n)).alias("id"))

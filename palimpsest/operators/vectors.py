@@ -11,22 +11,22 @@ from pyspark.sql import functions as F
 
 from palimpsest.operators.components import connected_components
 
-#: Queries that one task holds at a time.
-BLOCK = 2000
+#: Queries, and vectors, that one task holds at a time.
+BLOCK, PART = 2000, 50_000
 
 
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, v: s + v)
 
 
-def neighbours(vectors: DataFrame, queries: DataFrame, key: str, vector: str, k: int, least: float = -1.0, salt: int = 8) -> DataFrame:
+def neighbours(vectors: DataFrame, queries: DataFrame, key: str, vector: str, k: int, least: float = -1.0) -> DataFrame:
     """(query, key, similarity, rank): the k nearest of all vectors to every query, by inner product, ties to the smaller key.
 
     Queries are cut into blocks and meet every part of the vectors in a block product; each meeting gives at most k rows a query,
     and a window over these few makes the ranking. Vectors of another length than the query's and null vectors meet nothing.
     """
     n = queries.count()
-    blocks = max(1, -(-n // BLOCK))
+    blocks, salt = max(1, -(-n // BLOCK)), max(8, -(-vectors.select(key).count() // PART))
     q = queries.select(F.lit(0).alias("side"), F.col(key).alias("id"), F.col(vector).alias("v"), F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(salt - 1))).alias("part"))
     v = vectors.select(F.lit(1).alias("side"), F.col(key).alias("id"), F.col(vector).alias("v"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.pmod(F.xxhash64(F.lit(3), key), F.lit(salt)).cast("int").alias("part"))
     kind = dict(vectors.dtypes)[key]
