@@ -6,9 +6,11 @@ them from the window in which it stands further from an edge, and one path is de
 exact check of their kind (an address of a documented host is nobody's, a phone has digits enough) and are replaced by typed
 placeholders.
 
-Lines that cannot hold an item are not tagged: those without "@" or a spelled-out dot, with fewer than six digits, and whose words
-all are common. A word is common if it occurs, in that spelling, in at least one of RARE records; so there are at most RARE
-times as many common words as a record has words, whatever the corpus. Equal lines are tagged once per batch and remembered.
+Names are told from titles and tools by words: of a name without credit (an author line, a mail address beside it) one word at
+least is not common. Common are the words of WORDS, which are fixed, and those which stand outside marked and name-shaped spans
+in at least one of RARE of SAMPLE different lines (in as many lines of a smaller input). So a name does not become common by being
+repeated, and a copied line counts once. Lines that hold nothing the checks would pass are not tagged (plausible): what the gate
+asks for, the check of the kind asks for too. Equal lines are tagged once per batch and remembered.
 
 Defined results: null and empty texts have no items; texts are scanned whole; of two spans that overlap the longer stays; line
 numbers start at 1 and count line feeds; repeated deliveries count once.
@@ -29,13 +31,28 @@ from pyspark.sql import functions as F
 from palimpsest.llm.tagger import KINDS, PAD, TAGS, Tagger, codes
 
 MODEL = str(Path(__file__).with_name("pii_model.npz"))
+#: Common words that are nobody's name, written by pii_train.
+WORDS = Path(__file__).with_name("pii_words.txt")
 RARE = 1000
+#: Different lines, picked by hash, whose words are counted.
+SAMPLE = 20_000
 WINDOW, OVERLAP = 160, 48
 #: Added to the scores of all item tags: rather a span too many, which the checks refuse, than one missed.
 LEAN = 0.7
 _WORD = re.compile(r"[^\W\d_]{2,}")
-_DOT = re.compile(r"(?i)\bdot\b")
+_DOT, _AT = re.compile(r"(?i)\bdot\b"), re.compile(r"(?i)\bat\b.*\w\s*\.\s*\w")
 _DIGIT = re.compile(r"\d")
+#: Words that are not part of a handle, path or file name.
+_ALONE = re.compile(r"(?<![\w@./-])[^\W\d_]{2,}(?![\w@/-])")
+#: Capitalised words and initials side by side.
+_SHAPED = re.compile(r"(?<!\w)[^\W\d_a-zß-ÿ][\w'’-]*(?:[ .,]{1,3}(?:(?:de|da|di|del|van|von|der|den|la|le|al|el|bin) ){0,2}[^\W\d_a-zß-ÿ][\w'’-]*)+")
+#: Small words of the sentence, other than those inside street lines.
+_CUT = re.compile(r"(?<![^\W_])(?!(?:rue|des|del|der|den|dem|van|von|the|and|las|los|dos|das)(?![^\W_]))[a-zß-ÿ]{3,}(?![^\W_])")
+#: What every address has; in a line, whatever stands beside it.
+_SOME_NUMBER = re.compile(r"(?<!\w)\d{1,5}(?:-?[a-zA-Z])?(?![^\W_])")
+_NUMBER, _CAPITAL = re.compile(r"(?<![^\s,.])\d{1,5}(?:-?[a-zA-Z])?(?![^\s,;.])"), re.compile(r"[^\W\d_a-zß-ÿ][^\W\d_]{2,}")
+#: Words before the name of a person, whatever the name.
+_CREDIT = re.compile(r"(?i)(?:[a-z]-by|\b(?:author|maintainer|reviewer))[\"']?\s*[:=]\s*[\"']?")
 
 
 def common_words_of(texts: Iterable[str], rare: int = RARE) -> set[str]:
@@ -47,31 +64,50 @@ def common_words_of(texts: Iterable[str], rare: int = RARE) -> set[str]:
     return {w for w, c in count.items() if c * rare >= n}
 
 
-def common_words(texts: DataFrame, rare: int = RARE) -> set[str]:
-    """The words of at least one in rare texts (text); counted in every task first."""
+def fixed_words() -> set[str]:
+    return set(WORDS.read_text(encoding="utf-8").split())
+
+
+def outside_words(net: Tagger, lines: list[str]) -> Counter:
+    """In how many of the lines every word stands outside marked and name-shaped spans."""
+    count: Counter = Counter()
+    for i, spans in _marked(net, lines):
+        x = list(lines[i])
+        for b, e in [*((b, e) for b, e, _ in spans), *(m.span() for m in _SHAPED.finditer(lines[i]))]:
+            x[b:e] = "_" * (e - b)
+        count.update(set(_ALONE.findall("".join(x))))
+    return count
+
+
+def common_words(texts: DataFrame, model: bytes, rare: int = RARE) -> set[str]:
+    """The common words for texts (text); counted over a bounded number of different lines."""
+    lines = texts.select(F.explode(F.split("text", "\n")).alias("line")).where("line <> ''")
+    n = lines.agg(F.approx_count_distinct("line", 0.02)).first()[0]
+    least, part = max(SAMPLE // rare, 1), max(1, round(n / SAMPLE))
+    picked = lines.where(F.pmod(F.xxhash64("line"), F.lit(part)) == 0).distinct()
+    raw = texts.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, count = 0, Counter()
+        count: Counter = Counter()
         for batch in batches:
-            for t in batch["text"].to_pylist():
-                if t:
-                    n += 1
-                    count.update(set(_WORD.findall(t)))
-        count[""] = n
+            count.update(outside_words(_net(raw.value), batch["line"].to_pylist()))
         yield pa.RecordBatch.from_pydict({"word": pa.array(list(count), pa.string()), "n": pa.array(list(count.values()), pa.int64())})
 
-    counts = texts.select("text").mapInArrow(work, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    total = F.max(F.when(F.col("word") == "", F.col("n")))
-    counts = counts.cache()
-    n = counts.agg(total).first()[0] or 0
-    out = {r[0] for r in counts.where(f"word <> '' and n * {rare} >= {n}").select("word").collect()}
-    counts.unpersist()
-    return out
+    counts = picked.mapInArrow(work, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    return fixed_words() | {r[0] for r in counts.where(f"n >= {least}").select("word").collect()}
+
+
+def _streetlike(line: str) -> bool:
+    """Whether a number and a capitalised word stand together, as every address has them."""
+    return bool(_DIGIT.search(line)) and any(_SOME_NUMBER.search(p) and _CAPITAL.search(p) for p in _CUT.split(line))
 
 
 def plausible(line: str, common: set[str]) -> bool:
-    """Whether a line may hold an item."""
-    return "@" in line or not common.issuperset(_WORD.findall(line)) or len(_DIGIT.findall(line)) >= 6 or bool(_DOT.search(line))
+    """Whether a line may hold an item: the checks pass none in any other."""
+    return (
+        "@" in line or not common.issuperset(_WORD.findall(line)) or len(_DIGIT.findall(line)) >= 6 or bool(_DOT.search(line))
+        or _streetlike(line) or bool(_AT.search(line)) or bool(_CREDIT.search(line))
+    )
 
 
 def _emissions(net: Tagger, lines: list[str], batch: int = 1024) -> list[np.ndarray]:
@@ -108,8 +144,9 @@ _LEFT, _RIGHT = re.compile(r"[\w.+'’-]*$"), re.compile(r"^[\w+'’-]*(?:\.[\w-
 _NAME_WORD = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*")
 #: Forms that are of one kind only; the tagger's mark yields to them.
 _FORMS = ((re.compile(r"\d{2} \d{3} \d{3} \d{3}"), "id_number"), (re.compile(r"\d{3}[-.]\d{3}[-.]\d{4}"), "phone"))
-#: Small words inside street lines.
-_IN_STREETS = frozenset("rue des del der den dem van von the and las los dos das".split())
+#: Before the number of a place in a document, and after that of a server's answer.
+_PLACE = re.compile(r"\b(?:Level|Chapter|Section|Part|Step|Page|Figure|Table|Appendix|Phase|Version|Issue|Item|Line|Rule) $")
+_ANSWER = re.compile(r" (?:Not Found|Bad Request|Bad Gateway|Moved Permanently|Internal Server|Too Many|Service (?:Temporarily|Unavailable)|Gateway Time)")
 #: Small words inside surnames.
 _PARTICLES = frozenset("de da do dos del della di van von der den la le el al bin ten ter zu".split())
 
@@ -132,11 +169,17 @@ def _names(line: str, s: int, e: int, common: set[str] | frozenset[str]) -> list
         words = [m[0] for m in run]
         rare = [w for w in words if len(w) > 2 and w not in common and not common.issuperset(w.lower().split("-"))]
         s, e = run[0].start(), run[-1].end()
-        if 2 <= len(words) <= 5 and rare and (words[0][0].isupper() or len(rare) == len(words)) and not any(c.isdigit() or c in "_@/$" for c in line[s:e] + line[s - 1 : s] + line[e : e + 1]):
+        if 2 <= len(words) <= 5 and (rare or _credited(line, s, e)) and (words[0][0].isupper() or len(rare) == len(words)) and not any(c.isdigit() or c in "_@/$" for c in line[s:e] + line[s - 1 : s] + line[e : e + 1]):
             out.append((s, e))
     return out
 
 
+def _credited(line: str, s: int, e: int) -> bool:
+    """Whether s:e stands where only a person does."""
+    credit = any(m.end() == s for m in _CREDIT.finditer(line)) or bool(re.match(r"\s*[<(]\s*[\w.+-]+@\w", line[e:]))
+    return credit and not re.search(r"(?i)\b(?:team|bot|group|crew|project)$", line[s:e])
+
+
 def _checked(line: str, s: int, e: int, kind: str, common: set[str] | frozenset[str]) -> list[tuple[int, int]]:
     """The exact spans of the items of a kind about s:e."""
     one = _names(line, s, e, common) if kind == "name" else _exact(line, s, e, kind)
@@ -176,21 +219,21 @@ def _exact(line: str, s: int, e: int, kind: str) -> tuple[int, int] | None:
         if "@" in text or line.startswith("#"):
             return None
         # small words of the sentence that the tagger took along part the span; the part with a number and a name stays
-        cuts = [m for m in re.finditer(r"(?<![^\W_])[a-zß-ÿ]{3,}(?![^\W_])", text) if m[0] not in _IN_STREETS]
+        cuts = list(_CUT.finditer(text))
         begins, ends = [0, *[m.end() for m in cuts]], [*[m.start() for m in cuts], len(text)]
         for b, e in zip(begins, ends, strict=True):
             part = text[b:e]
-            if re.search(r"(?:^|[\s,.])\d{1,5}(?:-?[a-zA-Z])?(?=$|[\s,;.])", part) and re.search(r"[^\W\d_a-zß-ÿ][^\W\d_]{2,}", part):
+            numbers = (m for m in _NUMBER.finditer(part) if not _PLACE.search(line[: s + b + m.start()]) and not _ANSWER.match(line, s + b + m.end()))
+            if _CAPITAL.search(part) and any(numbers):
                 return s + b + len(part) - len(part.lstrip(" ,;:")), s + b + len(part.rstrip(" ,;:"))
     return None
 
 
-def find_in_lines(net: Tagger, lines: list[str], common: set[str] | frozenset[str] = frozenset()) -> list[list[tuple[int, int, str]]]:
-    """The items (begin, end, kind) of every line, by the tagger; each begins where it is written, not where tagging began."""
+def _marked(net: Tagger, lines: list[str]) -> Iterator[tuple[int, list[tuple[int, int, str]]]]:
+    """Every line that is not empty, by its index, with the spans (begin, end, kind) that the tagger marks."""
     order = sorted((i for i, x in enumerate(lines) if x), key=lambda i: -len(lines[i]))
     lean = np.zeros(TAGS, np.float32)
     lean[1:] = LEAN
-    out: list[list[tuple[int, int, str]]] = [[] for _ in lines]
     at = 0
     while at < len(order):
         # as many lines as keep the padded batch small
@@ -200,10 +243,8 @@ def find_in_lines(net: Tagger, lines: list[str], common: set[str] | frozenset[st
         text = [lines[i] for i in part]
         paths = net.decode([e + lean for e in _emissions(net, text)])
         for i, x, path in zip(part, text, paths, strict=True):
-            if not path.any():
-                continue
             spans, b = [], 0
-            while b < len(x):
+            while path.any() and b < len(x):
                 if not path[b]:
                     b += 1
                     continue
@@ -211,14 +252,21 @@ def find_in_lines(net: Tagger, lines: list[str], common: set[str] | frozenset[st
                 e = b + 1
                 while e < len(x) and path[e] == 2 + 2 * k:
                     e += 1
-                kind = next((as_kind for form, as_kind in _FORMS if form.fullmatch(x[b:e].strip(" .,;:()"))), KINDS[k])
-                spans += [(*c, kind) for c in _checked(x, b, e, kind, common)]
+                spans.append((b, e, next((as_kind for form, as_kind in _FORMS if form.fullmatch(x[b:e].strip(" .,;:()"))), KINDS[k])))
                 b = e
-            kept: list[tuple[int, int, str]] = []
-            for s in sorted(spans, key=lambda s: (s[0] - s[1], s[0])):
-                if all(s[1] <= o[0] or s[0] >= o[1] for o in kept):
-                    kept.append(s)
-            out[i] = sorted(kept)
+            yield i, spans
+
+
+def find_in_lines(net: Tagger, lines: list[str], common: set[str] | frozenset[str] = frozenset()) -> list[list[tuple[int, int, str]]]:
+    """The items (begin, end, kind) of every line, by the tagger; each begins where it is written, not where tagging began."""
+    out: list[list[tuple[int, int, str]]] = [[] for _ in lines]
+    for i, marks in _marked(net, lines):
+        spans = [(*c, kind) for b, e, kind in marks for c in _checked(lines[i], b, e, kind, common)]
+        kept: list[tuple[int, int, str]] = []
+        for s in sorted(spans, key=lambda s: (s[0] - s[1], s[0])):
+            if all(s[1] <= o[0] or s[0] >= o[1] for o in kept):
+                kept.append(s)
+        out[i] = sorted(kept)
     return out
 
 
@@ -249,11 +297,15 @@ class Scanner:
         return split
 
 
-def _scanner(model: bytes, common: set[str]) -> Scanner:
+def _net(model: bytes) -> Tagger:
     key = str(hash(model))
     if key not in _nets:
         _nets[key] = Tagger.load(model)
-    return Scanner(_nets[key], common)
+    return _nets[key]
+
+
+def _scanner(model: bytes, common: set[str]) -> Scanner:
+    return Scanner(_net(model), common)
 
 
 def _parts(batch: pa.RecordBatch, size: int = 1000) -> Iterator[pa.RecordBatch]:
@@ -264,7 +316,8 @@ def _parts(batch: pa.RecordBatch, size: int = 1000) -> Iterator[pa.RecordBatch]:
 def scan(texts: DataFrame, columns: list[str], model: str = MODEL, rare: int = RARE) -> DataFrame:
     """texts (columns, text) -> (columns, kind, line_no, begin, end): one row per item, places counted in characters of its line."""
     share = texts.sparkSession.sparkContext.broadcast
-    common, raw = share(common_words(texts, rare)), share(Path(model).read_bytes())
+    weights = Path(model).read_bytes()
+    common, raw = share(common_words(texts, weights, rare)), share(weights)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = _scanner(raw.value, common.value)
@@ -291,7 +344,8 @@ def scan(texts: DataFrame, columns: list[str], model: str = MODEL, rare: int = R
 def redacted(texts: DataFrame, columns: list[str], model: str = MODEL, rare: int = RARE) -> DataFrame:
     """texts (columns, text) -> (columns, text, items), every item replaced by [KIND]; the rest stays as it was."""
     share = texts.sparkSession.sparkContext.broadcast
-    common, raw = share(common_words(texts, rare)), share(Path(model).read_bytes())
+    weights = Path(model).read_bytes()
+    common, raw = share(common_words(texts, weights, rare)), share(weights)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = _scanner(raw.value, common.value)

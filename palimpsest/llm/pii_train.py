@@ -15,7 +15,7 @@ from pathlib import Path
 
 import numpy as np
 
-from palimpsest.llm.pii import MODEL, common_words_of, plausible
+from palimpsest.llm.pii import MODEL, WORDS, common_words_of, plausible
 from palimpsest.llm.tagger import KINDS, Tagger, codes, train
 
 LINES = 24_000
@@ -179,6 +179,11 @@ def tags_of(n: int, spans: list[tuple[int, int, str]]) -> np.ndarray:
     return t
 
 
+def words_of(common: set[str], first: set[str], last: set[str]) -> list[str]:
+    """The common words that no lexicon holds as part of a name."""
+    return sorted(w for w in common if w.lower() not in first and w.lower() not in last)
+
+
 def main(data: str, bound: int = LINES, hidden: int = 24, epochs: int = 7) -> None:
     import pyarrow.parquet as pq
 
@@ -191,6 +196,7 @@ def main(data: str, bound: int = LINES, hidden: int = 24, epochs: int = 7) -> No
     print(len(lines), "lines,", len(kept), "plausible", sum(map(len, kept)), "characters;", len(common), "common words")
     first, last, rx = lexicon(kept, common)
     print(len(first), "first and", len(last), "last names", sorted(first)[:80])
+    WORDS.write_text("\n".join(words_of(common, first, last)) + "\n", encoding="utf-8")
     marked = [(x, label(x, first, last, rx)) for x in kept]
     good = [m for m in marked if m[1]]
     rest = [m for m in marked if not m[1]]

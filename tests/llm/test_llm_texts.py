@@ -60,6 +60,26 @@ def test_pii_scan_and_redaction(spark):
     assert pii.scan(df.limit(0), ["id"]).count() == 0
 
 
+def test_repeated_items_stay_items(spark):
+    lines = ["Tested by Wanda Cranndale on the hourly converter.", "Ship the cache to 14 Elm Road, Aford.", "author: Harbor Stone", "Write to kim at elm.home for it."]
+    rows = [(str(i), "\n".join(lines)) for i in range(9)]
+    got = {tuple(x) for x in pii.scan(spark.createDataFrame(rows, "id string, text string"), ["id"]).select("id", "kind", "line_no").collect()}
+    assert {g for g in got if g[0] == "4"} >= {("4", "name", 1), ("4", "address", 2)}
+    assert {g[1:] for g in got if g[0] == "4"} == {g[1:] for g in got if g[0] == "8"}
+
+
+def test_the_gate_keeps_what_the_checks_pass():
+    common = pii.fixed_words() | {"Aford", "Elm", "Road", "Ship", "kim", "elm", "home"}
+    for line in ("Ship it to 14 Elm Road, Aford", "(14 Elm Road)", "# reviewer: Harbor Stone", "Write to kim at elm.home"):
+        assert pii.plausible(line, common), line
+    assert not pii.plausible("the cache is stable", common)
+    s = "author: Harbor Stone"
+    assert pii._checked(s, 8, len(s), "name", common | {"Harbor", "Stone"}) == [(8, len(s))]
+    assert pii._checked("Harbor Stone reads it", 0, 12, "name", common | {"Harbor", "Stone"}) == []
+    for line in ("See Level 17, Config Notifier, for the cache.", "When it answers 404 Not Found, wait."):
+        assert tagged(line) == set(), line
+
+
 def found(text, path=None):
     return [(text[f.start : f.end], text.count("\n", 0, f.start) + 1) for f in secrets.find_secrets(text, path)]
 
