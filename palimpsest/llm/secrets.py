@@ -1,7 +1,9 @@
 """Problem 2: credentials embedded in source code and configuration files.
 
 Method: a text is read as a file of its format (by its name, or by the language of a fenced block) into entries of key path,
-value and offsets; an entry is a credential if its key is named like one and its value has the shape of one. Headers, logins in
+value and offsets; an entry is a credential if its key is named like one and its value has the shape of one; a key that says nothing by
+itself (default, value, prod, a place in a list) has the name of what it stands in. YAML, JSON, TOML, INI and HCL are read by
+keypaths.py; lines of every text, also of these, are read by patterns for single assignments. Headers, logins in
 addresses, command options and known token shapes count wherever they stand. A finding is the span of the value alone, and
 redaction splices a mask over these spans of the original bytes, so quotes, indentation and line ends stay as they were.
 
@@ -25,6 +27,8 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from palimpsest.llm import keypaths
+
 
 class Finding(NamedTuple):
     start: int
@@ -106,6 +110,66 @@ def sensitive(key: str) -> bool:
     return last in ("key", "keys") and len(words) > 1 and words[-2] in KEYS and words[-2] != "public"
 
 
+#: Words whose plural holds credentials by name, and keys of such a collection that tell about one.
+_PLURAL = frozenset("passwords passphrases passcodes secrets tokens credentials keys apikeys creds".split())
+_ABOUT = frozenset(
+    "id ids name names user username login email host hostname url uri endpoint path file dir region zone type kind provider algorithm alg hash digest sha sha1 sha256 checksum fingerprint public version length"
+    " count size min max ttl expiry expires created updated date issuer audience scope scopes role description comment label format policy ref from commit revision image tag arn account owner prefix pattern regex".split()
+)
+_NAMING = frozenset("name key variable var".split())
+#: How things are called rather than what they are.
+_SLUG = re.compile(r"[A-Za-z]+(?:[-_./][A-Za-z]+)*[-_./]?v?\d{0,3}")
+#: Every name of a credential has one of these.
+_HINT = re.compile(r"pass|pw|secret|token|cred|auth|key|bearer")
+
+
+def _inherits(key: str | int) -> bool:
+    """Whether a key says nothing by itself: a place in a list, or words such as default, value and prod."""
+    if not isinstance(key, str):
+        return True
+    words = WORDS.findall(key)
+    return bool(words) and all(w.lower() in TAIL or w.isdigit() for w in words)
+
+
+def _collection(key: str) -> bool:
+    words = [w.lower() for w in WORDS.findall(key)]
+    return bool(words) and words[-1] in _PLURAL and (words[-1] != "keys" or len(words) > 1 and words[-2] in KEYS)
+
+
+def path_named(path: tuple[str | int, ...]) -> str:
+    """Whether a key path names a credential: 'named', or 'held' for items and any keys of a collection of credentials, or ''."""
+    rest = list(path)
+    while rest and _inherits(rest[-1]):
+        rest.pop()
+    if not rest:
+        return ""
+    if sensitive(rest[-1]) or _collection(rest[-1]):
+        return "held" if isinstance(path[-1], int) else "named"
+    if (WORDS.findall(rest[-1]) or [""])[-1].lower() in _ABOUT:
+        return ""
+    rest.pop()
+    while rest and _inherits(rest[-1]):
+        rest.pop()
+    return "held" if rest and _collection(rest[-1]) else ""
+
+
+def _entries(text: str, lo: int, hi: int, fmt: str) -> Iterator[tuple[int, int, str, str]]:
+    """Findings of a part in a configuration format, by the whole key path of every value."""
+    if not (reader := keypaths.READERS.get(fmt)):
+        return
+    for some in keypaths.entries(text, lo, hi, reader):
+        some = [e for e in some if e.path]
+        names = {e.within: text[e.start : e.end] for e in some if isinstance(e.path[-1], str) and e.path[-1].lower() in _NAMING}
+        for e in some:
+            path, v = e.path, text[e.start : e.end]
+            if e.within in names and isinstance(path[-1], str) and _inherits(path[-1]):  # {name: ..., value: ...}
+                path = (*path[:-1], names[e.within], path[-1])
+            how = path_named(path)
+            v = re.sub(r"\s+", "", v) if "\n" in v else v
+            if how and shaped(v, strict=how == "held") and not HEADER.fullmatch(v) and not (how == "held" and _SLUG.fullmatch(v)):
+                yield e.start, e.end, "entry", ".".join(map(str, path))
+
+
 def mixed(value: str) -> int:
     """How many kinds of characters a value has: lower, upper, digits, others."""
     return sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", "[0-9]", r"[^A-Za-z0-9]"))
@@ -300,6 +364,18 @@ def _formats(text: str, path: str | None) -> list[tuple[int, int, str, bool]]:
     return [p for p in out if p[0] < p[1]]
 
 
+def _config(text: str, parts: list[tuple[int, int, str, bool]]) -> Iterator[tuple[int, int, str, bool]]:
+    """The parts that may be configuration: with a leading frontmatter block, and blocks without a language by their look."""
+    if parts and parts[0][3] and (m := re.match(r"---[ \t]*\r?\n([\s\S]*?)\n---[ \t]*\r?(?:\n|$)", text)):
+        yield m.start(1), m.end(1), "yaml", False
+    for lo, hi, fmt, prose in parts:
+        if fmt in ("text", "txt", "") and not prose:
+            body = text[lo:hi]
+            fmt = "json" if re.match(r"\s*[{\[]\s*[\"{]", body) else "ini" if re.search(r"(?m)^\[[\w. -]+\]\s*$", body) else "yaml" if re.search(r"(?m)^\s*(?:- )?[\w.-]+:\s*$", body) else fmt
+        if not prose:
+            yield lo, hi, fmt, prose
+
+
 def find_secrets(text: str | None, path: str | None = None) -> list[Finding]:
     """The credentials of a text, in order, without overlaps."""
     if not text:
@@ -359,6 +435,18 @@ def find_secrets(text: str | None, path: str | None = None) -> list[Finding]:
                 elif raw.strip() and not raw[0].isspace():
                     inside = False
                 at += len(raw)
+    if _HINT.search(low):
+        apart: list[list[int]] = []
+        for s, e in sorted((s, e) for s, e, _, _ in found):
+            if apart and s < apart[-1][1]:
+                apart[-1][1] = max(e, apart[-1][1])
+            else:
+                apart.append([s, e])
+        for lo, hi, fmt, _ in _config(text, parts):
+            for f in _entries(text, lo, hi, fmt):
+                k = bisect_right(apart, f[0], key=lambda a: a[0])
+                if (not k or apart[k - 1][1] <= f[0]) and (k == len(apart) or apart[k][0] >= f[1]):
+                    found.append(f)
     found.sort(key=lambda f: (f[0], -f[1]))
     out: list[Finding] = []
     for s, e, k, key in found:
