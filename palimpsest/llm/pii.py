@@ -216,7 +216,7 @@ def _exact(line: str, s: int, e: int, kind: str) -> tuple[int, int] | None:
             return None
         return None if re.fullmatch(r"\d{4}-\d\d-\d\d|\d{4}-\d{4}|\d{10}|\d{12,}|[\d.]+\.\d+|[0-9a-f]{8}-[0-9a-f-]+", text) else (s, e)
     if kind == "address":
-        if "@" in text or line.startswith("#"):
+        if "@" in text:
             return None
         # small words of the sentence that the tagger took along part the span; the part with a number and a name stays
         cuts = list(_CUT.finditer(text))
@@ -270,6 +270,30 @@ def find_in_lines(net: Tagger, lines: list[str], common: set[str] | frozenset[st
     return out
 
 
+_HEADING = re.compile(r"#{1,6}\s")
+_FENCE = re.compile(r"[ \t]*(`{3,}|~{3,})[ \t]*(\S*)")
+#: Number and street as written in several countries.
+_STREET = re.compile(
+    r"\d{1,5}[a-zA-Z]?,? (?:[^\W\d_a-zß-ÿ][\w.'’-]* ){1,3}(?:Street|St|Road|Rd|Avenue|Ave|Lane|Ln|Drive|Dr|Court|Terrace|Way|Gardens|Close|Mews|Boulevard|Blvd|Place|Square)\b"
+    r"|\d{1,5},? (?:rue|avenue|boulevard|place|chemin) |\b(?:Calle|Via|Rua|Avenida) [^\W\d_a-zß-ÿ]|[^\W\d_](?:straße|strasse|weg|allee|gasse|platz|laan|straat|gracht) \d"
+)
+
+
+def _headings(lines: list[str]) -> Iterator[bool]:
+    """Whether every line is a Markdown heading, which a line within a fence or a leading frontmatter block is not."""
+    fence = "---" if lines[0].rstrip() == "---" and any(x.rstrip() == "---" for x in lines[1:]) else ""
+    for n, x in enumerate(lines):
+        yield not fence and bool(_HEADING.match(x))
+        if fence == "---":
+            if n and x.rstrip() == "---":
+                fence = ""
+        elif m := _FENCE.match(x):
+            if not fence:
+                fence = m[1]
+            elif m[1][0] == fence[0] and len(m[1]) >= len(fence) and not m[2]:
+                fence = ""
+
+
 _nets: dict[str, Tagger] = {}
 
 
@@ -296,6 +320,15 @@ class Scanner:
             known[x] = spans
         return split
 
+    def items(self, lines: list[str]) -> Iterator[tuple[str, list]]:
+        """The known lines of one text with their items: in headings, addresses need a street."""
+        known = self.known
+        if not any(x.startswith("#") and known[x] for x in lines):
+            yield from ((x, known[x]) for x in lines)
+            return
+        for x, heading in zip(lines, _headings(lines), strict=True):
+            yield x, [i for i in known[x] if i[2] != "address" or _STREET.search(x, i[0], i[1])] if heading else known[x]
+
 
 def _net(model: bytes) -> Tagger:
     key = str(hash(model))
@@ -325,8 +358,8 @@ def scan(texts: DataFrame, columns: list[str], model: str = MODEL, rare: int = R
             for batch in _parts(whole):
                 rows, kinds, numbers, begins, ends = [], [], [], [], []
                 for r, lines in enumerate(scanner.lines_of(batch["text"].to_pylist())):
-                    for n, x in enumerate(lines, 1):
-                        for b, e, k in scanner.known[x]:
+                    for n, (_, items) in enumerate(scanner.items(lines), 1):
+                        for b, e, k in items:
                             rows.append(r)
                             kinds.append(k)
                             numbers.append(n)
@@ -355,8 +388,8 @@ def redacted(texts: DataFrame, columns: list[str], model: str = MODEL, rare: int
                 after, items = [], []
                 for t, lines in zip(before, scanner.lines_of(before), strict=True):
                     n, out = 0, []
-                    for x in lines:
-                        for b, e, k in reversed(scanner.known[x]):
+                    for x, spans in scanner.items(lines):
+                        for b, e, k in reversed(spans):
                             x, n = f"{x[:b]}[{k.upper()}]{x[e:]}", n + 1
                         out.append(x)
                     after.append("\n".join(out) if t else t)

@@ -68,6 +68,15 @@ def test_repeated_items_stay_items(spark):
     assert {g[1:] for g in got if g[0] == "4"} == {g[1:] for g in got if g[0] == "8"}
 
 
+def test_addresses_in_comments():
+    text = "---\n# Ship to 9 Elm Road, Aford\n---\n# Ship to 14 Elm Road, Aford\n## 12 Config Notifier\n```sh\n# Ship to 18 Elm Road, Aford\n# 12 Config Notifier\n```\n## 12 Config Notifier"
+    lines = text.split("\n")
+    assert list(pii._headings(lines)) == [n in (3, 4, 9) for n in range(10)]
+    scanner = pii._scanner(open(pii.MODEL, "rb").read(), pii.fixed_words())
+    got = [n for n, (x, items) in enumerate(scanner.items(scanner.lines_of([text])[0])) for b, e, k in items if k == "address"]
+    assert [n for n in got if "Elm" in lines[n]] == [1, 3, 6] and not {4, 9} & set(got)
+
+
 def test_the_gate_keeps_what_the_checks_pass():
     common = pii.fixed_words() | {"Aford", "Elm", "Road", "Ship", "kim", "elm", "home"}
     for line in ("Ship it to 14 Elm Road, Aford", "(14 Elm Road)", "# reviewer: Harbor Stone", "Write to kim at elm.home"):
