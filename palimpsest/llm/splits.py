@@ -53,7 +53,7 @@ def _anneal(pdf: pd.DataFrame, deviation: np.ndarray, share: float, scale: np.nd
     k, n = dev.shape[0], len(split)
     cost = float((dev**2).sum())
     best, best_cost = split.copy(), cost
-    steps = min(60_000, 40 * n)
+    steps = 40 * n
     heat = temperature * max(cost, 1e-12) / 10
     pick, to, mate, luck = rng.integers(0, n, steps), rng.integers(1, k, steps), rng.integers(0, n, steps), rng.random(steps)
     for i in range(steps):

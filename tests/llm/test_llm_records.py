@@ -4,6 +4,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -81,6 +82,17 @@ def test_annealing_meets_proportions(spark):
     assert abs(share["train"] - 0.8) < 0.01 and abs(share["test"] - 0.1) < 0.01
 
 
+def test_annealing_tries_every_component_of_a_full_shard():
+    n = splits.SHARD
+    label = np.arange(n) % splits.LABELS
+    pdf = pd.DataFrame({"group_id": range(n), "size": 1, "labels": list(np.eye(splits.LABELS, dtype=int)[label]), "split": 1})
+    whole = np.array([n, *np.bincount(label, minlength=splits.LABELS)], float)
+    now = np.zeros((3, 1 + splits.LABELS))
+    now[1] = whole
+    got = splits._anneal(pdf, now - np.outer([0.8, 0.1, 0.1], whole), 1.0, whole, 5, 0.0)
+    assert np.abs(np.bincount(got, minlength=3) / n - [0.8, 0.1, 0.1]).max() < 0.002
+
+
 def test_groups_of_nothing(spark):
     df = spark.createDataFrame([], "pair_id string, repo string")
     assert splits.assign_splits(splits.tie_groups(df, "pair_id", ["repo"]), "pair_id").count() == 0
