@@ -193,8 +193,8 @@ def p6_clean(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_validation(spark: SparkSession, d: str) -> DataFrame:
-    """What the classifier reaches on repositories that took no part in its training, against the weak labels."""
-    figures = residue.train(_p6(spark, d))[2]
+    """What the classifier reaches, against the weak labels, on repositories and on kinds of phrases that took no part in its training."""
+    figures = residue.validation(residue.train(_p6(spark, d))[2])
     return spark.createDataFrame([(k, round(float(v), 4)) for k, v in figures.items()], "figure string, value double")
 
 

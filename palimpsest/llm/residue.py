@@ -2,12 +2,17 @@
 
 Method: a regularised linear classifier on hashed n-grams of words and characters, length, place and title features, trained on
 weak labels: lines that read like a response status, a script notice, an unfilled field or filler are positive, ordinary lines
-and lines that mention such things are negative. It judges every line that stands as content; a record is marked if one of its
-lines is. Fenced and inline code, quotes and commands' fields are not content and are left out before.
+and lines that mention such things are taken for negative. It judges every line that stands as content; a record is marked if one
+of its lines is. Fenced and inline code, quotes and commands' fields are not content and are left out before.
+
+The weak labels name some residue only, so the classifier must know more than they do. Positives are learned from twice, once
+without the phrase that labelled them, so that what stands around it carries weight too. And a line without a label is no proof:
+FOLDS models, each fitted without one part of the lines (lines alike but for digits and marks lie in one part), judge the part they
+have not seen; unlabelled lines they take for residue are not learned from as negatives. So lines that no phrase names can be marked.
 
 The training lines are a bounded sample (SAMPLE of each label, chosen by hash over all records); every line of every record is
-judged. Records of held-out hosts (repositories) take no part in training and give the validation figures. After a first fit all lines are judged once, and the
-negatives that come too near (again SAMPLE by hash) join the training lines of the second.
+judged. Records of held-out hosts (repositories) take no part in the fit that gives the validation figures. After a first fit all
+lines are judged once, and the negatives that come too near (again SAMPLE by hash) join the training lines of the second.
 
 Defined results: null, empty and blank texts are unmarked; repeated deliveries count once; with no positive line to learn from
 nothing is marked; texts are judged whole.
@@ -22,16 +27,20 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from palimpsest.llm.shingles import mix
+from palimpsest.session import materialize, release
 
 SAMPLE = 12_000
 #: What a positive line weighs in training, and the score above which a negative line is learned from again.
 POSITIVE, MARGIN = 6.0, -2.0
 BITS = 17
 HELD_OUT = 5  # one in so many hosts
+FOLDS = 6
+#: The upper bits of a line's hash by which the sample is cut: what is sorted are that many counts.
+CUT = 16
 
 #: What a line is made of that stands for content that is missing; fixed phrases of pages, servers and templates.
 STATUS = re.compile(
@@ -78,6 +87,25 @@ def weak_label(line: str) -> bool:
     return bool(STATUS.search(line) or SCRIPT.search(line) or FIELD.search(line) or FILLER.search(line))
 
 
+def _phrases(line: str) -> list[tuple[int, int]]:
+    """Where the weak label's patterns match."""
+    return [m.span() for rx in (STATUS, SCRIPT, FIELD, FILLER) for m in rx.finditer(line) if m.end() > m.start()]
+
+
+def unnamed(line: str) -> str | None:
+    """A positive line without the phrases that label it, if two words at least are left."""
+    out = list(line)
+    for b, e in _phrases(line):
+        out[b:e] = "\u0002" * (e - b)
+    rest = re.sub("\u0002+", " \u0002 ", "".join(out)).strip()
+    return rest if len(re.findall(r"[^\W_]+", rest)) >= 2 else None
+
+
+def family(line: str) -> str:
+    """The first phrase that labels a positive line, without its digits."""
+    return min((re.sub(r"[\W\d_]+", " ", line[b:e].lower()).strip()[:16] for b, e in _phrases(line)), default="")
+
+
 def content_lines(text: str | None) -> Iterator[tuple[str, str]]:
     """(place, line) of the lines of a text that stand as content, without inline code; place: F frontmatter, T title, H heading,
     B body, W a body of less than four lines."""
@@ -202,8 +230,8 @@ def fit(rows: list[tuple[str, str, int]], epochs: int = 14, l2: float = 1e-5, ra
     return w, bias
 
 
-def sample_lines(records: DataFrame, sample: int = SAMPLE, near: tuple[np.ndarray, float] | None = None) -> DataFrame:
-    """records (host, text) -> (host, place, line, y): distinct content lines, at most sample of each class, the least by hash:
+def sample_lines(records: DataFrame, sample: int = SAMPLE, near: tuple[np.ndarray, float] | None = None) -> list[tuple[str, str, str, int]]:
+    """records (host, text) -> (host, place, line, label): distinct content lines, at most sample of each class, the least by hash:
     positives, mentions and others; or with near (weights, bias) the negatives that score above MARGIN. Each task keeps the least
     of its own, so what is moved is bounded by tasks times sample."""
     share = records.sparkSession.sparkContext.broadcast(near)
@@ -241,35 +269,80 @@ def sample_lines(records: DataFrame, sample: int = SAMPLE, near: tuple[np.ndarra
         yield pa.RecordBatch.from_pydict({n: pa.array(v, t) for (n, t), v in zip(kinds.items(), cols, strict=True)})
 
     rows = records.select("host", "text").mapInArrow(least, "c int, line string, h bigint, host string, place string")
-    rows = rows.groupBy("c", "line").agg(F.min("h").alias("h"), F.min("host").alias("host"), F.min("place").alias("place"))
-    top = rows.withColumn("n", F.row_number().over(Window.partitionBy("c").orderBy("h", "line"))).where(f"n <= {sample}")
-    return top.select("host", "place", "line", F.when(F.col("c") == 0, 1).otherwise(0).alias("y"))
+    rows = materialize(rows.groupBy("c", "line").agg(F.min("h").alias("h"), F.min("host").alias("host"), F.min("place").alias("place")))
+    # hashes are even, so counts by their upper bits tell where to cut; no task sorts or holds the lines of all others
+    counts: dict[int, dict[int, int]] = {}
+    part = F.shiftright("h", 63 - CUT)
+    for c, k, n in rows.groupBy("c", part.alias("k")).count().collect():
+        counts.setdefault(c, {})[k] = n
+    out: list[tuple[str, str, str, int]] = []
+    for c, of in counts.items():
+        total, last = 0, 0
+        for last in sorted(of):
+            total += of[last]
+            if total >= sample:
+                break
+        some = sorted((r.h, r.line, r.host or "", r.place) for r in rows.where((F.col("c") == c) & (part <= last)).collect())
+        out += [(host, place, line, int(c == 0)) for _, line, host, place in some[:sample]]
+    release(rows)
+    return sorted(out)
 
 
 def held_out(host: str | None) -> bool:
     return xxhash.xxh3_64_intdigest("host " + (host or "")) % HELD_OUT == 0
 
 
-def train(records: DataFrame, sample: int = SAMPLE, validate: bool = True) -> tuple[np.ndarray, float, dict[str, float]]:
-    """Weights, bias, and, if asked for, what the classifier reaches on hosts it has not seen."""
-    take = lambda df: sorted((r[0] or "", r[1], r[2], r[3]) for r in df.collect())
-    rows = take(sample_lines(records, sample))
-    model = fit([r[1:] for r in rows if not held_out(r[0])])
-    rows += take(sample_lines(records, sample, model))
-    if not validate:
-        return *fit([r[1:] for r in rows]), {}
-    w, bias = fit([r[1:] for r in rows if not held_out(r[0])])  # for the figures; what marks is fitted on all
+Row = tuple[str, str, int]  # place, line, label
+
+
+def _fold(line: str) -> int:
+    return xxhash.xxh3_64_intdigest(re.sub(r"[\W\d_]+", " ", line.lower())) % FOLDS
+
+
+def learn(rows: list[Row]) -> tuple[np.ndarray, float]:
+    """The classifier by weakly labelled lines: with positives stripped of their phrases, without doubtful negatives."""
+    rows = rows + [(place, rest, 1) for place, line, y in rows if y and (rest := unnamed(line))]
+    folds = np.array([_fold(r[1]) for r in rows])
+    if len(rows) < 10 * FOLDS:
+        return fit(rows)
+    doubtful = np.zeros(len(rows), bool)
+    for f in range(FOLDS):
+        mine = np.flatnonzero(folds == f)
+        s = scores(*fit([rows[i] for i in np.flatnonzero(folds != f)]), [rows[i][:2] for i in mine])
+        doubtful[mine] = s > 0
+    return fit([r for r, d in zip(rows, doubtful, strict=True) if r[2] or not d])
+
+
+def train(records: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, float, list[tuple[str, str, str, int]]]:
+    """Weights, bias, and the lines (host, place, line, label) they were learned from."""
+    rows = sample_lines(records, sample)
+    rows += sample_lines(records, sample, fit([r[1:] for r in rows]))
+    return *learn([r[1:] for r in rows]), rows
+
+
+def validation(rows: list[tuple[str, str, str, int]]) -> dict[str, float]:
+    """What learning from rows reaches: on hosts it has not seen, and on kinds of phrases that were taken out of the weak labels
+    (every kind once; its lines are then neither positive nor negative)."""
+    w, bias = learn([r[1:] for r in rows if not held_out(r[0])])
     test = [r for r in rows if held_out(r[0])]
     said = scores(w, bias, [r[1:3] for r in test]) > 0
     true = sum(r[3] for r in test)
     hit = sum(1 for s, r in zip(said, test, strict=True) if s and r[3])
-    figures = {"lines": len(rows), "held_out": len(test), "positive": true, "precision": hit / max(1, int(said.sum())), "recall": hit / max(1, true)}
-    return *fit([r[1:] for r in rows]), figures
+    out = {"lines": len(rows), "held_out": len(test), "positive": true, "precision": hit / max(1, int(said.sum())), "recall": hit / max(1, true)}
+    part = [xxhash.xxh3_64_intdigest("kind " + family(r[2])) % 5 if r[3] else -1 for r in rows]
+    again = found = 0
+    for k in range(5):
+        gone = [r for r, p in zip(rows, part, strict=True) if p == k]
+        if gone:
+            w, bias = learn([r[1:] for r, p in zip(rows, part, strict=True) if p != k])
+            found += int((scores(w, bias, [r[1:3] for r in gone]) > 0).sum())
+            again += len(gone)
+    return out | {"unnamed_kinds": again, "unnamed_recall": found / max(1, again)}
 
 
 def mark(records: DataFrame, key: str, sample: int = SAMPLE) -> DataFrame:
     """records (key, host, text) -> (key, lines): how many content lines of each text are residue."""
-    w, bias, _ = train(records, sample, validate=False)
+    w, bias, _ = train(records, sample)
     share = records.sparkSession.sparkContext.broadcast((w.astype(np.float32), float(bias)))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -181,16 +181,36 @@ def test_residue_classifier(spark):
     words = "route parser ledger index cache gateway schema draft session counter bridge matrix".split()
     plain = lambda: " ".join(r.choice(words) for _ in range(9)) + "."
     odd = lambda: r.choice(RESIDUE) + r.choice(["", f" {r.choice(words)}", f" {r.choice(words)} {r.choice(words)}"])
-    rows = [(f"p{i}", f"h{i % 23}", "\n".join([plain(), plain(), odd() if i % 4 == 0 else r.choice(FINE), plain()])) for i in range(400)]
+    rows = [(f"p{i}", f"h{i % 23}", "\n".join([plain(), plain(), odd() if i % 4 == 0 else f"{r.choice(FINE)[:-1]} after the {r.choice(words)} {r.choice(words)}.", plain()])) for i in range(400)]
     df = spark.createDataFrame([*rows, ("none", None, None), ("void", "h", ""), rows[0]], "k string, host string, text string")
     got = {x["k"] for x in residue.mark(df, "k").where("lines > 0").collect()}
     assert got == {f"p{i}" for i in range(0, 400, 4)}
-    figures = residue.train(df)[2]
+    figures = residue.validation(residue.train(df)[2])
     assert figures["positive"] == 0 or figures["recall"] > 0.8 and figures["precision"] > 0.8
+    assert figures["unnamed_kinds"] > 10
     assert residue.mark(df.limit(0), "k").count() == 0
     assert residue.mark(df.where("k = 'p1'"), "k").first()["lines"] == 0
 
 
+def test_residue_that_no_phrase_names():
+    r = random.Random(6)
+    words = "route parser ledger index cache gateway schema draft session counter bridge matrix".split()
+    rows = [("B", " ".join(r.choice(words) for _ in range(r.randint(4, 12))) + ".", 0) for _ in range(800)]
+    rows += [("B", f"<your {a} goes here>", 1) for a in words] + [("B", f"[Insert {a} goes here]", 1) for a in words]
+    odd = ("B", "<Words go here>")
+    assert not residue.weak_label(odd[1]) and not residue.weak_label("<Words go here>")
+    w, bias = residue.learn([*rows, (*odd, 0)])
+    assert residue.scores(w, bias, [odd])[0] > 0, "a line without a label is no proof that it is no residue"
+    assert (residue.scores(w, bias, [x[:2] for x in rows[:800]]) < 0).all()
+    assert residue.unnamed("Error 404: the included file a/b.md could not be found.") is not None and residue.unnamed("TODO") is None
+
+
+def test_residue_sample_is_cut_by_hash(spark):
+    df = spark.createDataFrame([(f"h{i % 7}", "\n".join(f"line number {i} {j} of many words" for j in range(20))) for i in range(60)], "host string, text string")
+    all_rows, some = residue.sample_lines(df), residue.sample_lines(df, 50)
+    assert len(all_rows) == 1200 and len(some) == 50 and set(some) < set(all_rows)
+
+
 @HAVE_VOCABULARY
 def test_tokens_are_those_of_the_library():
     import tiktoken
