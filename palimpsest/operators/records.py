@@ -18,14 +18,18 @@ def fullness(df: DataFrame, skip: Sequence[str] = ()) -> Column:
     return sum(one[1:], one[0]) if one else F.lit(0)
 
 
+def rank(df: DataFrame, columns: Sequence[str], skip: Sequence[str] = ("before_content", "after_content")) -> Column:
+    """Of repeated deliveries the one that counts has the greatest: the fuller one, of equally full ones the greater hash."""
+    return F.struct(fullness(df, skip).alias("f"), F.xxhash64(*columns).alias("h"))
+
+
 def fuller(df: DataFrame, key: str, columns: Sequence[str], skip: Sequence[str] = ("before_content", "after_content")) -> DataFrame:
     """One row (key, columns) per non-null key: of repeated deliveries the fuller one, of equally full ones the greater hash.
 
     Deliveries with a null key are dropped, an empty table stays empty. The aggregation combines before the shuffle, and a hot
     key holds one row per map task at most.
     """
-    best = F.struct(fullness(df, skip).alias("f"), F.xxhash64(*columns).alias("h"))
-    rows = df.where(F.col(key).isNotNull()).select(key, F.struct(*columns).alias("row"), best.alias("best"))
+    rows = df.where(F.col(key).isNotNull()).select(key, F.struct(*columns).alias("row"), rank(df, columns, skip).alias("best"))
     one = rows.groupBy(key).agg(F.max_by("row", "best").alias("row"))
     return one.select(key, *[F.col("row").getField(c).alias(c) for c in columns])
 
