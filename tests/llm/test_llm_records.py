@@ -152,12 +152,54 @@ def test_overlap_against_all_pairs(spark):
     want = {(a, b): jaccard(runs[a], runs[b]) for a in ev for b in tr if jaccard(runs[a], runs[b]) >= 0.7}
     e = spark.createDataFrame([(k, texts[k]) for k in ev] * 2, "key_e string, text string")
     t = spark.createDataFrame([(k, texts[k]) for k in tr], "key_t string, text string")
-    got = {(x["key_e"], x["key_t"]): x["similarity"] for x in overlap.overlaps(e, t, 0.7).collect()}
+    got = {(x["key_e"], x["key_t"]): x["similarity"] for x in overlap.overlaps(e, t, 0.7).where("similarity >= 0.7").collect()}
     assert got == pytest.approx(want)
     assert overlap.overlaps(e.limit(0), t, 0.7).count() == 0
     assert overlap.overlaps(e, t.limit(0), 0.7).count() == 0
 
 
+def test_containment_against_all_pairs(spark):
+    r = random.Random(8)
+    whole = {f"t{i:02d}": [f"w{r.randint(0, 900)}" for _ in range(r.randint(60, 600))] for i in range(40)}
+    part = {}
+    for i in range(60):
+        src = whole[f"t{r.randrange(40):02d}"]
+        n = r.choice([6, 8, 20, 60, len(src) // 2])
+        b = r.randrange(max(1, len(src) - n))
+        part[f"e{i:02d}"] = edited(r, src[b : b + n]).split() if i % 3 else src[b : b + n]
+    runs = {k: distinct_runs(" ".join(w)) for k, w in (whole | part).items()}
+    for c in (0.5, 0.8, 1.0):
+        want = {}
+        for a in part:
+            for b in whole:
+                both = len(np.intersect1d(runs[a], runs[b]))
+                if len(runs[a]) and both >= c * len(runs[a]) - 1e-9:
+                    want[a, b] = both / len(runs[a])
+        e = spark.createDataFrame([(k, " ".join(w)) for k, w in part.items()], "key_e string, text string")
+        t = spark.createDataFrame([(k, " ".join(w)) for k, w in whole.items()] * 2, "key_t string, text string").repartition(9)
+        got = {(x["key_e"], x["key_t"]): x["containment"] for x in overlap.overlaps(e, t, c).collect()}
+        assert len(want) > 15 and got == pytest.approx(want)
+
+
+def test_overlap_takes_the_delivery_of_greatest_rank(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    e = spark.createDataFrame([("e", 1, text), ("e", 2, "other " * 30), ("f", 1, text), ("f", 1, None)], "key_e string, rank int, text string")
+    t = spark.createDataFrame([("t", text)], "key_t string, text string")
+    assert [(x["key_e"], x["containment"]) for x in overlap.overlaps(e, t).collect()] == [("f", 1.0)]
+
+
+def test_partial_arrays_are_folded_in_a_tree(spark):
+    def work(batches):
+        whole = np.zeros(overlap.CHUNK * 2, np.int64)
+        for b in batches:
+            whole[b["id"].to_numpy()] += 1
+        yield from overlap._chunks(whole)
+
+    df = spark.range(0, overlap.CHUNK * 2, 3, 150)
+    got = overlap._merge(df.mapInArrow(work, "task int, chunk int, part binary"), 150, np.add, overlap.CHUNK * 2, np.int64)
+    assert (got == (np.arange(overlap.CHUNK * 2) % 3 == 0)).all()
+
+
 def test_run_hashes_forget_frontmatter_and_line_ends():
     a = distinct_runs("---\nname: a\n---\nOne two three four five six")
     assert len(a) == 2 and (a == distinct_runs("---\r\nname: b\r\n---\r\none two  three\r\nfour five six")).all()
