@@ -180,6 +180,16 @@ def p10_profile(spark: SparkSession, d: str) -> DataFrame:
     return docs.join(levels, "doc_id").groupBy("source", "band").agg(F.count("*").alias("documents"), F.round(F.avg("level"), 4).alias("mean_level"))
 
 
+def p10_validation(spark: SparkSession, d: str) -> DataFrame:
+    """Judged documents placed by a model that did not know their judgement, and the log-likelihood of every round."""
+    docs = spread(once(table(spark, d, "documents"), "doc_id", ["text"], ["text"]))
+    return _figures(spark, reading.validation(docs, table(spark, d, "reading_labels").where("doc_id is not null")))
+
+
+def _figures(spark: SparkSession, figures: dict[str, float]) -> DataFrame:
+    return spark.createDataFrame([(k, round(float(v), 4)) for k, v in figures.items()], "figure string, value double")
+
+
 def _p6(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "diffs").where("pair_id is not null")
     return spread(rows.select("pair_id", F.col("repo").alias("host"), F.col("after_content").alias("text")))
@@ -197,8 +207,7 @@ def p6_clean(spark: SparkSession, d: str) -> DataFrame:
 
 def p6_validation(spark: SparkSession, d: str) -> DataFrame:
     """What the classifier reaches, against the weak labels, on repositories and on kinds of phrases that took no part in its training."""
-    figures = residue.validation(residue.train(_p6(spark, d))[2])
-    return spark.createDataFrame([(k, round(float(v), 4)) for k, v in figures.items()], "figure string, value double")
+    return _figures(spark, residue.validation(residue.train(_p6(spark, d))[2]))
 
 
 _P7 = """WITH d AS (SELECT pair_id, max(repo) repo, max(nullif(lower(trim(commit_email)), '')) email, max(quality_score) q
@@ -212,7 +221,7 @@ _OVER = "(coalesce(repo, '') <> '' AND a > n) OR (email IS NOT NULL AND b > n)"
 
 def queries() -> dict[str, Query]:
     return {"p1_found": p1_found, "p1_kinds": p1_kinds, "p1_redacted": p1_redacted, "p2_found": p2_found, "p2_kinds": p2_kinds, "p2_redacted": p2_redacted, "p3_found": p3_found, "p3_splits": p3_splits, "p4_found": p4_found, "p4_groups": p4_groups, "p5_found": p5_found, "p5_report": p5_report, "p6_found": p6_found, "p6_clean": p6_clean, "p6_validation": p6_validation, "p7_found": p7_found, "p7_kept": p7_kept, "p8_ids": p8_ids, "p8_counts": p8_counts, "p9_mixture": p9_mixture, "p9_shares": p9_shares,
-        "p10_found": p10_found, "p10_levels": p10_levels, "p10_profile": p10_profile}
+        "p10_found": p10_found, "p10_levels": p10_levels, "p10_profile": p10_profile, "p10_validation": p10_validation}
 
 
 def oracle_sql() -> dict[str, str]:

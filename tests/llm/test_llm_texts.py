@@ -286,9 +286,18 @@ def test_levels_part_the_bands(spark):
         if i < 90:
             labels.append((i, b))
     docs = spark.createDataFrame([*rows, (900, None), (901, ""), (902, "```\ncode\n```")], "doc_id bigint, text string")
-    lab = spark.createDataFrame([*labels, labels[0]], "doc_id bigint, band string")
-    got = {x["doc_id"]: x for x in reading.levels(docs, lab).collect()}
+    lab = spark.createDataFrame(labels, "doc_id bigint, band string")
+    got = {x["doc_id"]: x for x in reading.levels(docs, lab.union(lab.limit(1))).collect()}
     assert len(got) == 303 and all(got[i]["level"] is None for i in (900, 901, 902))
     assert sum(got[i]["band"] == truth[i] for i in range(90, 300)) > 200
+    bags = reading.bags_of(docs, lab, "doc_id")
+    curves, slots, course = reading.fit(bags)
+    assert all(b > a - 1e-6 for a, b in zip(course, course[1:])), "the likelihood does not fall"
+    of = lambda w: curves.tilt[reading._words[w] & (slots - 1)]
+    assert min(map(of, vocab["advanced"])) > 0 > max(map(of, vocab["basic"])) and abs(of("the")) < 0.2
+    few = {x["doc_id"]: x for x in reading.levels(docs, lab, slots=1 << 12).collect()}
+    assert sum(few[i]["band"] == got[i]["band"] for i in range(300)) > 290, "shared slots change little"
+    held = reading.validation(docs, lab)
+    assert held["held_out"] == 90 and held["same_band"] > 0.9
     assert {x["band"] for x in reading.levels(docs, lab.limit(0)).collect()} == {None}
     assert reading.levels(docs.limit(0), lab).count() == 0
