@@ -7,8 +7,8 @@ it holds one score. Records on the cutoff itself are told apart by identifier: t
 No contributor's records ever meet in one task: a round joins the records with one row of bounds per contributor and counts
 them with map-side combination. Bounds stay a table (at most N / limit rows), the driver sees only how many are unsettled.
 
-Defined results: null and empty contributors are nobody and have no limit; null and NaN scores come last; ties go to the
-smaller identifier; repeated identifiers count once (the fuller delivery); an empty table drops nothing.
+Defined results: null and empty contributors are nobody and have no limit; null and NaN scores come last, infinite ones are the
+greatest or least; ties go to the smaller identifier; repeated identifiers count once (the fuller delivery); an empty table drops nothing.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from palimpsest.operators.records import fuller
-from palimpsest.session import materialize
+from palimpsest.session import materialize, release
 
 SLICES = 256
 
@@ -31,10 +31,11 @@ def _descend(counts: DataFrame, order: list[Column]) -> DataFrame:
     return upto.where("upto >= room and upto - c < room")
 
 
-def cutoffs(rows: DataFrame, max_rounds: int = 200) -> DataFrame:
+def cutoffs(rows: DataFrame, max_rounds: int = 300) -> DataFrame:
     """rows (dim, who, score, id, room), of contributors above their limit only -> (dim, who, cut, prefix): kept are the
     records with a score above cut, or on it and with an identifier whose first characters are at most prefix. cut is null where
-    the cutoff lies among the records without a score."""
+    the cutoff lies among the records without a score. Doubles span 2^2098, a round leaves 1 / SLICES of what is between the
+    bounds, so 263 rounds settle any scores; infinite ones are told from others first."""
     known = rows.groupBy("dim", "who").agg(
         F.first("room").alias("limit"), F.count("score").alias("scored"), F.min("score").alias("lo"), F.max("score").alias("hi")
     )
@@ -49,7 +50,12 @@ def cutoffs(rows: DataFrame, max_rounds: int = 200) -> DataFrame:
     for _ in range(max_rounds):
         if state.where("lo < hi").isEmpty():
             break
-        at = F.least(F.floor((F.col("hi") - F.col("score")) / (F.col("hi") - F.col("lo")) * SLICES), F.lit(SLICES - 1))
+        # halves, as the difference of two doubles may be none
+        hi, lo, score = (F.col(c) / 2 for c in ("hi", "lo", "score"))
+        even = F.least(F.floor((hi - score) / (hi - lo) * SLICES), F.lit(SLICES - 1))
+        endless = F.abs("hi") == float("inf"), F.abs("lo") == float("inf")
+        by_kind = F.when(F.col("score") == float("inf"), 0).when(F.col("score") == float("-inf"), 2).otherwise(1)
+        at = F.when(endless[0] | endless[1], by_kind).otherwise(even)
         inside = rows.join(state.where("lo < hi"), ["dim", "who"]).where("score >= lo and score <= hi")
         counts = inside.groupBy("dim", "who", "room", at.alias("slice")).agg(
             F.count("*").alias("c"), F.min("score").alias("lo"), F.max("score").alias("hi")
@@ -57,7 +63,8 @@ def cutoffs(rows: DataFrame, max_rounds: int = 200) -> DataFrame:
         found = _descend(counts, [F.col("slice")]).select(
             "dim", "who", (F.col("room") - F.col("upto") + F.col("c")).alias("room"), "lo", "hi"
         )
-        state = materialize(state.where("not coalesce(lo < hi, false)").unionByName(found))
+        state, old = materialize(state.where("not coalesce(lo < hi, false)").unionByName(found)), state
+        release(old)
     else:
         raise RuntimeError("cutoffs not settled")
     state = materialize(state.select("dim", "who", "room", F.col("lo").alias("cut"), F.lit("").alias("prefix"), F.lit(False).alias("done")))
@@ -74,9 +81,11 @@ def cutoffs(rows: DataFrame, max_rounds: int = 200) -> DataFrame:
             "dim", "who", (F.col("room") - F.col("upto") + F.col("c")).alias("room"), "cut",
             F.concat("prefix", "next").alias("prefix"), (F.col("upto") == F.col("room")).alias("done"),
         )
-        state = materialize(state.where("done").unionByName(found))
+        state, old = materialize(state.where("done").unionByName(found)), state
+        release(old)
     else:
         raise RuntimeError("ties not settled")
+    release(ties)
     return state.select("dim", "who", "cut", "prefix")
 
 
