@@ -6,8 +6,8 @@ parallel annealing then move or exchange whole components, each shard of them wo
 deviation of sizes and labels; the best assignment of all rounds is kept.
 
 Defined results: null and '' tie nothing, a record without any key is a group of its own; repeated keys count once (the fuller
-delivery); labels beyond LABELS hashed classes share one; an empty table gives no rows. A component is never divided, so
-proportions are met as nearly as the largest component allows.
+delivery); each of the LABELS most frequent labels is balanced by itself, rarer ones share REST classes by hash; an empty table
+gives no rows. A component is never divided, so proportions are met as nearly as the largest component allows.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from palimpsest.operators.records import fuller
 from palimpsest.session import materialize
 
 SPLITS = (("train", 0.8), ("validation", 0.1), ("test", 0.1))
-LABELS = 16
+LABELS, REST = 48, 16
 #: Components annealed together in one task.
 SHARD = 20_000
 
@@ -96,9 +96,14 @@ def assign_splits(
     shares = shares / shares.sum()
     if label is None:
         groups, label = groups.withColumn("__label", F.lit("")), "__label"
-    groups = groups.withColumn("__bucket", F.pmod(F.xxhash64(F.coalesce(F.col(label).cast("string"), F.lit(""))), F.lit(LABELS)).cast("int"))
+    said = F.coalesce(F.col(label).cast("string"), F.lit(""))
+    kinds = [r[0] for r in groups.groupBy(said.alias("l")).count().orderBy(F.desc("count"), "l").limit(LABELS + 1).select("l").collect()]
+    n_labels = max(1, len(kinds)) if len(kinds) <= LABELS else LABELS + REST
+    place = F.array_position(F.array(*map(F.lit, kinds[:LABELS] or [""])), said).cast("int") - 1
+    rest = F.pmod(F.xxhash64(said), F.lit(REST)).cast("int") + LABELS
+    groups = groups.withColumn("__bucket", F.when(place >= 0, place).otherwise(rest))
     counts = groups.groupBy("group_id").agg(
-        F.count("*").alias("size"), F.array(*[F.count_if(F.col("__bucket") == i) for i in range(LABELS)]).alias("labels")
+        F.count("*").alias("size"), F.array(*[F.count_if(F.col("__bucket") == i) for i in range(n_labels)]).alias("labels")
     )
     u = F.pmod(F.xxhash64("group_id", F.lit(seed)), F.lit(1_000_000)) / 1_000_000
     start = sum((F.when(u >= float(c), 1).otherwise(0) for c in np.cumsum(shares)[:-1]), F.lit(0))
@@ -106,8 +111,8 @@ def assign_splits(
     k = len(names)
 
     def totals(d: DataFrame) -> np.ndarray:
-        out = np.zeros((k, 1 + LABELS))
-        for r in d.groupBy("split").agg(F.sum("size"), *[F.sum(F.col("labels")[i]) for i in range(LABELS)]).collect():
+        out = np.zeros((k, 1 + n_labels))
+        for r in d.groupBy("split").agg(F.sum("size"), *[F.sum(F.col("labels")[i]) for i in range(n_labels)]).collect():
             out[r[0]] = [float(x) for x in r[1:]]
         return out
 
@@ -130,3 +135,28 @@ def assign_splits(
         comp = best
     name = F.element_at(F.array(*[F.lit(x) for x in names]), F.col("split") + 1)
     return groups.join(comp.select("group_id", name.alias("split")), "group_id").select(key, "group_id", "split")
+
+
+def balance(assigned: DataFrame, label: str, splits: Sequence[tuple[str, float]] = SPLITS) -> DataFrame:
+    """assigned (key, group_id, split, label) -> one row per split: records, share, target, largest_group (its share of all
+    records), label_deviation (half the sum over labels of what the split's shares differ from those of all records), and within:
+    whether the share is off its target by no more than 0.01 or the largest group. The groups' sizes and the labels' counts are
+    aggregated; one row per split and label reaches the last step."""
+    n = assigned.count()
+    groups = assigned.groupBy("split", "group_id").count().groupBy("split").agg(F.sum("count").alias("records"), F.max("count").alias("m"))
+    said = F.coalesce(F.col(label).cast("string"), F.lit("")).alias("l")
+    per = assigned.groupBy("split", said).count()
+    every = per.groupBy("l").agg((F.sum("count") / max(1, n)).alias("p"))
+    size = groups.select("split", "records")
+    # every label counts in every split, also where a split has none of it
+    grid = every.join(per.groupBy("l").pivot("split", [s for s, _ in splits]).agg(F.sum("count")), "l")
+    cells = grid.select("p", F.explode(F.array(*[F.struct(F.lit(s).alias("split"), F.coalesce(F.col(s), F.lit(0)).alias("c")) for s, _ in splits])).alias("x")).select("p", "x.split", "x.c")
+    off = cells.join(size, "split").groupBy("split").agg(F.round(F.sum(F.abs(F.col("c") / F.col("records") - F.col("p"))) / 2, 4).alias("label_deviation"))
+    total = sum(p for _, p in splits)
+    target = F.element_at(F.create_map(*[x for s, p in splits for x in (F.lit(s), F.lit(p / total))]), F.col("split"))
+    largest = groups.agg(F.max("m")).first()[0] or 0
+    share = F.col("records") / max(1, n)
+    return groups.join(off, "split").select(
+        "split", "records", F.round(share, 4).alias("share"), target.alias("target"), F.round(F.lit(largest / max(1, n)), 4).alias("largest_group"),
+        "label_deviation", (F.abs(share - target) <= max(0.01, largest / max(1, n))).alias("within"),
+    )
