@@ -65,7 +65,7 @@ def permuted(i: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
         x, h, m, k = out[todo], half[todo], low[todo], key[todo]
         a, b = x >> h, x & m
         for r in range(4):
-            a, b = b, a ^ (mix(b + k + np.uint64(0x9E3779B97F4A7C15) * np.uint64(r + 1)) & m)
+            a, b = b, a ^ (mix(b + k + np.uint64(0x9E3779B97F4A7C15 * (r + 1) & (1 << 64) - 1)) & m)
         out[todo] = a << h | b
         todo = out >= n.astype(np.uint64)
     return out.astype(np.int64)

@@ -25,14 +25,18 @@ from pyspark.sql import functions as F
 
 from palimpsest.llm.shingles import body_words, mix, run_hashes
 from palimpsest.operators.components import connected_components
-from palimpsest.session import materialize
+from palimpsest.session import materialize, release
 
 BANDS, ROWS = 32, 4
 M = BANDS * ROWS
-#: Standard errors of the signature's estimate by which a candidate may fall short and still be verified.
+#: Standard errors of the signature's estimate by which a candidate may fall short and still be verified: of pairs on the
+#: threshold 3 in 10 million fall short by more. None verifies every candidate.
 SLACK = 5.0
 
 
+_MASK = (1 << 64) - 1
+
+
 def _unit(h: np.ndarray) -> np.ndarray:
     return ((h >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
 
@@ -46,12 +50,12 @@ def bag_signatures(items: np.ndarray, weights: np.ndarray, owner: np.ndarray, n:
     level, lo, hi = 0, 0.0, 1.0
     live = np.arange(len(items))
     while len(live):  # one hierarchy level a turn: [0,1), [1,2), [2,4), ...
-        seed = mix(items[live] + np.uint64(0xA0761D6478BD642F) * np.uint64(level + 1))
+        seed = mix(items[live] + np.uint64(0xA0761D6478BD642F * (level + 1) & _MASK))
         own, wt, t = owner[live], weights[live], np.zeros(len(live))
-        step = np.uint64(0)
+        step = 0
         while len(seed):
-            step += np.uint64(1)
-            a = mix(seed + step * np.uint64(0xE7037ED1A0B428DB))
+            step += 1
+            a = mix(seed + np.uint64(0xE7037ED1A0B428DB * step & _MASK))
             t = t - np.log(_unit(a)) / (m * (hi - lo))
             b = mix(a + np.uint64(0x8EBC6AF09C88C6E3))
             where = own * m + (b % np.uint64(m)).astype(np.int64)
@@ -107,9 +111,9 @@ def signatures(texts: DataFrame, key: str, counts: bool = True, least_words: int
     return texts.select(key, "text").mapInArrow(_sign(key, counts, least_words), schema)
 
 
-def _plausible(threshold: float):
+def _plausible(threshold: float, slack: float):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        floor = threshold - SLACK * (threshold * (1 - threshold) / M) ** 0.5
+        floor = threshold - slack * (threshold * (1 - threshold) / M) ** 0.5
         for batch in batches:
             if batch.num_rows:
                 a, b = (np.frombuffer(b"".join(batch[c].to_pylist()), np.uint16).reshape(-1, M) for c in ("sig_a", "sig_b"))
@@ -143,11 +147,14 @@ def _verify(threshold: float, counts: bool):
     return work
 
 
-def similar_pairs(texts: DataFrame, key: str, threshold: float, counts: bool = True, least_words: int = 0) -> tuple[DataFrame, DataFrame]:
+def similar_pairs(
+    texts: DataFrame, key: str, threshold: float, counts: bool = True, least_words: int = 0, slack: float | None = SLACK
+) -> tuple[DataFrame, DataFrame]:
     """texts (key, text), one row per key, best materialised -> (members, pairs).
 
     members (key, rep): the class representative (smallest key) of every text with runs. pairs (a, b, similarity): every two
     representatives with a < b whose similarity reaches the threshold. counts: whether runs count as often as they occur.
+    slack: candidates whose signatures fall short of the threshold by more standard errors are not verified; None verifies all.
     """
     signed = materialize(signatures(texts, key, counts, least_words))
     reps = signed.groupBy("class").agg(F.min(key).alias("rep"))
@@ -157,12 +164,16 @@ def similar_pairs(texts: DataFrame, key: str, threshold: float, counts: bool = T
     slots = own.select("id", F.explode("bands").alias("bucket"))
     left, right = slots.select("bucket", F.col("id").alias("a")), slots.select("bucket", F.col("id").alias("b"))
     met = left.join(right, "bucket").where("a < b").select("a", "b").distinct()
-    sig = own.select("id", "sig")
-    both = met.join(sig.select(F.col("id").alias("a"), F.col("sig").alias("sig_a")), "a").join(
-        sig.select(F.col("id").alias("b"), F.col("sig").alias("sig_b")), "b"
-    )
     kind = dict(texts.dtypes)[key]
-    likely = materialize(both.mapInArrow(_plausible(threshold), f"a {kind}, b {kind}"))
+    if slack is not None:
+        sig = own.select("id", "sig")
+        both = met.join(sig.select(F.col("id").alias("a"), F.col("sig").alias("sig_a")), "a").join(
+            sig.select(F.col("id").alias("b"), F.col("sig").alias("sig_b")), "b"
+        )
+        met = both.mapInArrow(_plausible(threshold, slack), f"a {kind}, b {kind}")
+    likely = materialize(met)
+    release(own)
+    release(signed)
     text = texts.select(F.col(key).alias("id"), "text")
     full = likely.join(text.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a").join(
         text.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b"
@@ -172,7 +183,8 @@ def similar_pairs(texts: DataFrame, key: str, threshold: float, counts: bool = T
 
 
 def member_pairs(members: DataFrame, pairs: DataFrame, key: str) -> DataFrame:
-    """(key_a, key_b), smaller key first: all pairs of texts of one class or of two similar classes."""
+    """(key_a, key_b), smaller key first: all pairs of texts of one class or of two similar classes, so n equal texts give n^2 / 2
+    rows; who needs no such pairs takes members and pairs as they are, or groups()."""
     m = materialize(members)
     of = lambda side: m.select(F.col(key).alias(f"k{side}"), F.col("rep").alias(side))
     within = of("a").join(of("b"), F.col("a") == F.col("b")).where("ka < kb").select("ka", "kb")
