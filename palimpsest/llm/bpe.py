@@ -150,3 +150,16 @@ def encode(df: DataFrame, key: str, text: str, vocabulary: str = VOCABULARY) ->
             yield pa.RecordBatch.from_arrays([batch[key], ids], [key, "ids"])
 
     return df.select(key, text).mapInArrow(work, f"`{key}` {dict(df.dtypes)[key]}, ids array<int>")
+
+
+def decode(df: DataFrame, key: str, ids: str, vocabulary: str = VOCABULARY) -> DataFrame:
+    """(key, text): what the ids of every row stand for; encoding a text and decoding its ids gives it back."""
+    shared = shared_vocabulary(df, vocabulary)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        piece = {i: b for b, i in encoder_of(shared.value).ranks.items()}
+        for batch in batches:
+            texts = [b"".join(piece[i] for i in x or ()).decode("utf-8", "surrogatepass") for x in batch[ids].to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch[key], pa.array(texts, pa.string())], [key, "text"])
+
+    return df.select(key, ids).mapInArrow(work, f"`{key}` {dict(df.dtypes)[key]}, text string")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from palimpsest.llm import bpe, capping, mixing, neardup, overlap, pii, reading, residue, secrets, splits
@@ -65,17 +65,30 @@ def p2_redacted(spark: SparkSession, d: str) -> DataFrame:
     return secrets.redacted(_p2_files(spark, d)).distinct()
 
 
-def _p3(spark: SparkSession, d: str) -> DataFrame:
-    groups = splits.tie_groups(table(spark, d, "curator_training"), "pair_id", TIES, ["intent_class"])
-    return splits.assign_splits(groups, "pair_id", "intent_class")
+def _p3(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """(pair_id, group_id, intent_class) and (pair_id, group_id, split)."""
+    groups = materialize(splits.tie_groups(table(spark, d, "curator_training"), "pair_id", TIES, ["intent_class"]))
+    return groups, splits.assign_splits(groups, "pair_id", "intent_class")
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    return _p3(spark, d).select("pair_id", "group_id")
+    return _p3(spark, d)[1].select("pair_id", "group_id")
 
 
 def p3_splits(spark: SparkSession, d: str) -> DataFrame:
-    return _p3(spark, d)
+    return _p3(spark, d)[1]
+
+
+def p3_report(spark: SparkSession, d: str) -> DataFrame:
+    """Per split: records, share and target, and by how much its labels differ from those of all records."""
+    groups, found = _p3(spark, d)
+    return splits.balance(found.join(groups.select("pair_id", "intent_class"), "pair_id"), "intent_class")
+
+
+def p3_balance(spark: SparkSession, d: str) -> DataFrame:
+    """Whether every split's share is off by no more than 0.01 or the largest group, and its labels by no more than 0.1 and that."""
+    off = F.col("label_deviation") <= 0.1 + F.col("largest_group")
+    return p3_report(spark, d).select("split", "within", off.alias("labels_within"))
 
 
 def _latest(spark: SparkSession, d: str) -> DataFrame:
@@ -147,6 +160,11 @@ def p8_counts(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def p8_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """Digests of the texts that the ids stand for."""
+    return bpe.decode(p8_ids(spark, d), "doc_id", "ids").select("doc_id", F.sha2("text", 256).alias("digest"))
+
+
 def _p9(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     docs = once(table(spark, d, "documents"), "doc_id", ["text", "source"], ["text"])
     return mixing.mixture(docs, table(spark, d, "mix_targets"), "doc_id", "text", "source")
@@ -160,6 +178,16 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return _p9(spark, d)[1]
 
 
+def p9_check(spark: SparkSession, d: str) -> DataFrame:
+    """Per target: whether it has tokens at all, whether the share reached is its part of the targets that have, to 0.01, and
+    whether none of its blocks is repeated too often."""
+    rows = p9_shares(spark, d)
+    has = F.col("tokens") > 0
+    aim = F.when(has, F.col("target_weight") / F.sum(F.when(has, F.col("target_weight"))).over(Window.partitionBy())).otherwise(0.0)
+    capped = F.col("most_repeats") <= F.greatest(F.lit(1), F.coalesce("max_repeats", F.lit(1)))
+    return rows.select("source", has.alias("available"), (F.abs(F.col("actual_share") - aim) <= 0.01).alias("met"), capped.alias("capped"))
+
+
 def _p10(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     docs = spread(once(table(spark, d, "documents"), "doc_id", ["text", "lang", "source"], ["text"]))
     return docs.select("doc_id", "lang", "source"), reading.levels(docs.select("doc_id", "text"), table(spark, d, "reading_labels"))
@@ -219,10 +247,52 @@ SELECT pair_id FROM r, n WHERE """
 _OVER = "(coalesce(repo, '') <> '' AND a > n) OR (email IS NOT NULL AND b > n)"
 
 
+#: Frontmatter dropped, lower case, split at blanks; and the distinct runs of five words.
+_WORDS = r"list_filter(regexp_split_to_array(lower(regexp_replace({}, '(?s)\A---[ \t]*\r?\n(?:.*?\r?\n)??---[ \t]*(?:\r?\n|\z)', '')), '\s+'), lambda x: x <> '')"
+_RUNS = "list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))"
+_P3 = """WITH RECURSIVE d AS (SELECT pair_id, max(repo) AS repo, max(skill_id) AS skill_id, max(skill_cluster_id) AS cluster
+  FROM curator_training WHERE pair_id IS NOT NULL GROUP BY pair_id),
+t AS (SELECT DISTINCT pair_id, k FROM (SELECT pair_id, 'r' || repo AS k FROM d WHERE repo <> '' UNION ALL SELECT pair_id, 's' || skill_id FROM d
+  WHERE skill_id <> '' UNION ALL SELECT pair_id, 'c' || cluster FROM d WHERE cluster <> '')),
+lead AS (SELECT k, min(pair_id) AS m FROM t GROUP BY k), e AS (SELECT DISTINCT t.pair_id AS a, l.m AS b FROM t JOIN lead l USING (k) WHERE t.pair_id <> l.m),
+g AS (SELECT a, b FROM e UNION SELECT b, a FROM e), r(x, y) AS (SELECT pair_id, pair_id FROM d UNION SELECT r.x, g.b FROM r JOIN g ON r.y = g.a)
+SELECT x AS pair_id, min(y) AS group_id FROM r GROUP BY x"""
+_P4 = f"""WITH l AS (SELECT skill_id, after_content AS x FROM (SELECT *, row_number() OVER (PARTITION BY skill_id ORDER BY
+  try_cast(commit_date AS TIMESTAMPTZ) DESC NULLS LAST, pair_id DESC NULLS LAST, after_content IS NOT NULL DESC) AS n FROM diffs WHERE skill_id IS NOT NULL) WHERE n = 1),
+s AS (SELECT skill_id, {_RUNS} AS runs FROM (SELECT skill_id, {_WORDS.format("x")} AS w FROM l WHERE x IS NOT NULL) WHERE len(w) >= 60),
+u AS (SELECT skill_id, unnest(runs) AS r FROM s),
+hit AS (SELECT a.skill_id AS i, b.skill_id AS j, count(*) AS n FROM u a JOIN u b ON a.r = b.r AND a.skill_id < b.skill_id GROUP BY 1, 2)
+SELECT i AS skill_id_a, j AS skill_id_b FROM hit JOIN s a ON a.skill_id = i JOIN s b ON b.skill_id = j WHERE n >= 0.7 * (len(a.runs) + len(b.runs) - n)"""
+_P5 = f"""WITH e AS (SELECT DISTINCT pair_id, unnest([before_content, after_content]) AS x FROM curator_eval_set WHERE pair_id IS NOT NULL),
+t AS (SELECT DISTINCT pair_id, after_content AS x FROM curator_training WHERE pair_id IS NOT NULL),
+ex AS (SELECT row_number() OVER () AS id, x FROM (SELECT DISTINCT x FROM e WHERE x <> '')), tx AS (SELECT row_number() OVER () AS id, x FROM (SELECT DISTINCT x FROM t WHERE x <> '')),
+er AS (SELECT id, {_RUNS} AS runs FROM (SELECT id, {_WORDS.format("x")} AS w FROM ex) WHERE len(w) > 4), tr AS (SELECT id, {_RUNS} AS runs FROM (SELECT id, {_WORDS.format("x")} AS w FROM tx) WHERE len(w) > 4),
+hit AS (SELECT a.id AS i, b.id AS j, count(*) AS n FROM (SELECT id, unnest(runs) AS r FROM er) a JOIN (SELECT id, unnest(runs) AS r FROM tr) b USING (r) GROUP BY 1, 2),
+near AS (SELECT ex.x AS xe, tx.x AS xt, n / len(er.runs) AS c, n / (len(er.runs) + len(tr.runs) - n) AS s FROM hit JOIN er ON er.id = i JOIN tr ON tr.id = j JOIN ex ON ex.id = i JOIN tx ON tx.id = j),
+pairs AS (SELECT e.pair_id AS key_e, t.pair_id AS key_t, max(c) AS c, max(s) AS s FROM near JOIN e ON e.x = xe JOIN t ON t.x = xt GROUP BY 1, 2) """
+_P5_REPORT = """, best AS (SELECT key_e, count(*) AS n, max(c) AS c FROM pairs WHERE c >= 0.7 - 1e-9 GROUP BY 1),
+k AS (SELECT pair_id, max(split) AS split, max(platform) AS platform FROM curator_eval_set WHERE pair_id IS NOT NULL GROUP BY 1)
+SELECT split, platform, count(*) AS records, count(n) AS overlapping, CAST(coalesce(sum(n), 0) AS BIGINT) AS pairs, round(avg(c), 4) AS mean_containment FROM k LEFT JOIN best ON key_e = pair_id GROUP BY 1, 2"""
+_P9_CHECK = """SELECT source, source IN (SELECT source FROM documents WHERE text <> '') AS available, true AS met, true AS capped FROM mix_targets WHERE source IS NOT NULL"""
+
+
 def queries() -> dict[str, Query]:
-    return {"p1_found": p1_found, "p1_kinds": p1_kinds, "p1_redacted": p1_redacted, "p2_found": p2_found, "p2_kinds": p2_kinds, "p2_redacted": p2_redacted, "p3_found": p3_found, "p3_splits": p3_splits, "p4_found": p4_found, "p4_groups": p4_groups, "p5_found": p5_found, "p5_report": p5_report, "p6_found": p6_found, "p6_clean": p6_clean, "p6_validation": p6_validation, "p7_found": p7_found, "p7_kept": p7_kept, "p8_ids": p8_ids, "p8_counts": p8_counts, "p9_mixture": p9_mixture, "p9_shares": p9_shares,
-        "p10_found": p10_found, "p10_levels": p10_levels, "p10_profile": p10_profile, "p10_validation": p10_validation}
+    names = (
+        p1_found, p1_kinds, p1_redacted, p2_found, p2_kinds, p2_redacted, p3_found, p3_splits, p3_report, p3_balance, p4_found, p4_groups, p5_found, p5_report, p6_found, p6_clean,
+        p6_validation, p7_found, p7_kept, p8_ids, p8_counts, p8_roundtrip, p9_mixture, p9_shares, p9_check, p10_found, p10_levels, p10_profile, p10_validation,
+    )
+    return {f.__name__: f for f in names}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p7_found": _P7 + _OVER, "p7_kept": _P7 + f"NOT coalesce({_OVER}, false)"}
+    return {
+        "p3_found": _P3,
+        "p3_balance": "SELECT unnest(['train', 'validation', 'test']) AS split, true AS within, true AS labels_within",
+        "p4_found": _P4,
+        "p5_found": _P5 + "SELECT least(key_e, key_t) AS pair_id_a, greatest(key_e, key_t) AS pair_id_b FROM pairs WHERE s >= 0.7 - 1e-9",
+        "p5_report": _P5 + _P5_REPORT,
+        "p7_found": _P7 + _OVER,
+        "p7_kept": _P7 + f"NOT coalesce({_OVER}, false)",
+        "p8_roundtrip": "SELECT doc_id, sha256(coalesce(any_value(text), '')) AS digest FROM documents WHERE doc_id IS NOT NULL GROUP BY doc_id",
+        "p9_check": _P9_CHECK,
+    }

@@ -1,7 +1,7 @@
 """Capping, splits, near-duplicates and overlaps against plain statements of the same."""
 
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from palimpsest.llm import capping, neardup, overlap, splits
-from palimpsest.llm.shingles import body_words, distinct_runs, jaccard
+from palimpsest.llm.shingles import body_words, distinct_runs, jaccard, run_hashes
 
 
 def cap_plainly(rows, limit):
@@ -45,6 +45,17 @@ def test_cap_repeats_ties_and_nothing(spark):
         capping.cap(spark.createDataFrame([], schema), "id", "q", {"w": F.col("who")})
 
 
+def test_cap_with_endless_and_far_scores(spark):
+    inf = float("inf")
+    r = random.Random(9)
+    scores = [inf, inf, -inf, 1.7e308, -1.7e308, 5e-324, 0.0, -5e-324, None, *[10.0**e for e in range(-300, 300, 25)], *[-(10.0**e) for e in range(-300, 300, 50)]]
+    rows = [(f"{i:05d}", "a" if i % 4 else "b", None, s) for i, s in enumerate(r.sample(scores, len(scores)))]
+    df = spark.createDataFrame(rows, "id string, who string, mail string, q double")
+    for limit in (1, 3, 12, 20):
+        got = capping.cap(df, "id", "q", {"w": F.col("who")}, limit=limit).where("over").collect()
+        assert {x[0] for x in got} == cap_plainly(rows, limit), limit
+
+
 def groups_plainly(rows):
     parent = {}
 
@@ -82,6 +93,17 @@ def test_annealing_meets_proportions(spark):
     assert abs(share["train"] - 0.8) < 0.01 and abs(share["test"] - 0.1) < 0.01
 
 
+def test_every_frequent_label_is_balanced(spark):
+    names = "initial test unknown merge whitespace ci refactor build chore feat fix docs style perf revert".split()
+    rows = [(f"p{i:05d}", f"g{i // 2}", names[i // 2 % 15]) for i in range(6000)]
+    df = spark.createDataFrame(rows, "pair_id string, group_id string, label string")
+    out = splits.balance(splits.assign_splits(df, "pair_id", "label").join(df.select("pair_id", "label"), "pair_id"), "label").collect()
+    assert len(out) == 3 and all(x["within"] and x["label_deviation"] < 0.02 for x in out), out
+    many = df.withColumn("label", F.concat("label", F.substring("pair_id", -2, 2)))
+    assert splits.assign_splits(many, "pair_id", "label").groupBy("group_id").agg(F.countDistinct("split").alias("n")).where("n > 1").isEmpty()
+    assert splits.balance(df.limit(0).withColumn("split", F.lit("train")), "label").count() == 0
+
+
 def test_annealing_tries_every_component_of_a_full_shard():
     n = splits.SHARD
     label = np.arange(n) % splits.LABELS
@@ -129,6 +151,32 @@ def test_near_duplicates_against_all_pairs(spark):
     assert g["same1"]["group_id"] == g["same2"]["group_id"] and "empty" not in g
 
 
+def weighted(a, b):
+    x, y = Counter(a.tolist()), Counter(b.tolist())
+    both = sum((x & y).values())
+    return both / max(1, sum((x | y).values()))
+
+
+def test_near_duplicate_bags_against_all_pairs(spark):
+    """Multiplicities are skewed: some runs stand many times in a text, and copies differ in how often."""
+    r = random.Random(12)
+    texts = {}
+    for i in range(60):
+        block = " ".join(f"b{i % 20}x{j}" for j in range(r.randint(6, 9)))
+        rest = " ".join(f"w{i % 20}y{j}" for j in range(80))
+        for v in range(3):
+            texts[f"k{i:02d}{v}"] = f"{rest} " + f"{block} " * r.choice([1, 2, 8, 9, 10, 30])
+    runs = {k: run_hashes(body_words(t)) for k, t in texts.items()}
+    keys = sorted(texts)
+    df = spark.createDataFrame(list(texts.items()), "k string, text string")
+    for t in (0.7, 0.8):
+        want = {(a, b) for a in keys for b in keys if a < b and weighted(runs[a], runs[b]) >= t}
+        for slack in (neardup.SLACK, None):
+            members, pairs = neardup.similar_pairs(df, "k", t, slack=slack)
+            got = {tuple(x) for x in neardup.member_pairs(members, pairs, "k").collect()}
+            assert got <= want and len(got) >= 0.999 * len(want) > 100, (t, slack, len(got), len(want))
+
+
 def test_near_duplicates_of_nothing(spark):
     df = spark.createDataFrame([], "k string, text string")
     members, pairs = neardup.similar_pairs(df, "k", 0.8)
