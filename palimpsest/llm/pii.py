@@ -7,10 +7,9 @@ exact check of their kind (an address of a documented host is nobody's, a phone
 placeholders.
 
 Names are told from titles and tools by words: of a name without credit (an author line, a mail address beside it) one word at
-least is not common. Common are the words of WORDS, which are fixed, and those which stand outside marked and name-shaped spans
-in at least one of RARE of SAMPLE different lines (in as many lines of a smaller input). So a name does not become common by being
-repeated, and a copied line counts once. Lines that hold nothing the checks would pass are not tagged (plausible): what the gate
-asks for, the check of the kind asks for too. Equal lines are tagged once per batch and remembered.
+least is not common. Common are the words of WORDS, a part of the model that training writes; what stands in a text decides what is
+found in it, never how often it stands elsewhere. Lines that hold nothing the checks would pass are not tagged (plausible): what
+the gate asks for, the check of the kind asks for too. Equal lines are tagged once per batch and remembered.
 
 Defined results: null and empty texts have no items; texts are scanned whole; of two spans that overlap the longer stays; line
 numbers start at 1 and count line feeds; repeated deliveries count once.
@@ -19,33 +18,24 @@ numbers start at 1 and count line feeds; repeated deliveries count once.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from palimpsest.llm.tagger import KINDS, PAD, TAGS, Tagger, codes
 
 MODEL = str(Path(__file__).with_name("pii_model.npz"))
 #: Common words that are nobody's name, written by pii_train.
 WORDS = Path(__file__).with_name("pii_words.txt")
-RARE = 1000
-#: Different lines, picked by hash, whose words are counted.
-SAMPLE = 20_000
 WINDOW, OVERLAP = 160, 48
 #: Added to the scores of all item tags: rather a span too many, which the checks refuse, than one missed.
 LEAN = 0.7
 _WORD = re.compile(r"[^\W\d_]{2,}")
 _DOT, _AT = re.compile(r"(?i)\bdot\b"), re.compile(r"(?i)\bat\b.*\w\s*\.\s*\w")
 _DIGIT = re.compile(r"\d")
-#: Words that are not part of a handle, path or file name.
-_ALONE = re.compile(r"(?<![\w@./-])[^\W\d_]{2,}(?![\w@/-])")
-#: Capitalised words and initials side by side.
-_SHAPED = re.compile(r"(?<!\w)[^\W\d_a-zß-ÿ][\w'’-]*(?:[ .,]{1,3}(?:(?:de|da|di|del|van|von|der|den|la|le|al|el|bin) ){0,2}[^\W\d_a-zß-ÿ][\w'’-]*)+")
 #: Small words of the sentence, other than those inside street lines.
 _CUT = re.compile(r"(?<![^\W_])(?!(?:rue|des|del|der|den|dem|van|von|the|and|las|los|dos|das)(?![^\W_]))[a-zß-ÿ]{3,}(?![^\W_])")
 #: What every address has; in a line, whatever stands beside it.
@@ -55,46 +45,8 @@ _NUMBER, _CAPITAL = re.compile(r"(?<![^\s,.])\d{1,5}(?:-?[a-zA-Z])?(?![^\s,;.])"
 _CREDIT = re.compile(r"(?i)(?:[a-z]-by|\b(?:author|maintainer|reviewer))[\"']?\s*[:=]\s*[\"']?")
 
 
-def common_words_of(texts: Iterable[str], rare: int = RARE) -> set[str]:
-    """The common words of a collection small enough for one process."""
-    n, count = 0, Counter()
-    for t in texts:
-        n += 1
-        count.update(set(_WORD.findall(t)))
-    return {w for w, c in count.items() if c * rare >= n}
-
-
-def fixed_words() -> set[str]:
-    return set(WORDS.read_text(encoding="utf-8").split())
-
-
-def outside_words(net: Tagger, lines: list[str]) -> Counter:
-    """In how many of the lines every word stands outside marked and name-shaped spans."""
-    count: Counter = Counter()
-    for i, spans in _marked(net, lines):
-        x = list(lines[i])
-        for b, e in [*((b, e) for b, e, _ in spans), *(m.span() for m in _SHAPED.finditer(lines[i]))]:
-            x[b:e] = "_" * (e - b)
-        count.update(set(_ALONE.findall("".join(x))))
-    return count
-
-
-def common_words(texts: DataFrame, model: bytes, rare: int = RARE) -> set[str]:
-    """The common words for texts (text); counted over a bounded number of different lines."""
-    lines = texts.select(F.explode(F.split("text", "\n")).alias("line")).where("line <> ''")
-    n = lines.agg(F.approx_count_distinct("line", 0.02)).first()[0]
-    least, part = max(SAMPLE // rare, 1), max(1, round(n / SAMPLE))
-    picked = lines.where(F.pmod(F.xxhash64("line"), F.lit(part)) == 0).distinct()
-    raw = texts.sparkSession.sparkContext.broadcast(model)
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count: Counter = Counter()
-        for batch in batches:
-            count.update(outside_words(_net(raw.value), batch["line"].to_pylist()))
-        yield pa.RecordBatch.from_pydict({"word": pa.array(list(count), pa.string()), "n": pa.array(list(count.values()), pa.int64())})
-
-    counts = picked.mapInArrow(work, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    return fixed_words() | {r[0] for r in counts.where(f"n >= {least}").select("word").collect()}
+def fixed_words(path: str | Path = WORDS) -> set[str]:
+    return set(Path(path).read_text(encoding="utf-8").split())
 
 
 def _streetlike(line: str) -> bool:
@@ -147,6 +99,9 @@ _FORMS = ((re.compile(r"\d{2} \d{3} \d{3} \d{3}"), "id_number"), (re.compile(r"\
 #: Before the number of a place in a document, and after that of a server's answer.
 _PLACE = re.compile(r"\b(?:Level|Chapter|Section|Part|Step|Page|Figure|Table|Appendix|Phase|Version|Issue|Item|Line|Rule) $")
 _ANSWER = re.compile(r" (?:Not Found|Bad Request|Bad Gateway|Moved Permanently|Internal Server|Too Many|Service (?:Temporarily|Unavailable)|Gateway Time)")
+#: Bare runs of digits are counts, times and keys, unless such a word stands shortly before.
+_CALLED = re.compile(r"(?i)\b(?:tel|phone|call|mobile|cell|fax|sms|text|whatsapp|ring|handy|telefon|téléphone|teléfono)\b[^\d\n]{0,20}$")
+_NUMBERED = re.compile(r"(?i)\b(?:ssn|social security|nino|national insurance|passport|tax|cpf|dni|nie|national id|identity|id card|personal|steuer-id|ausweis)\b[^\d\n]{0,20}$")
 #: Small words inside surnames.
 _PARTICLES = frozenset("de da do dos del della di van von der den la le el al bin ten ter zu".split())
 
@@ -210,11 +165,15 @@ def _exact(line: str, s: int, e: int, kind: str) -> tuple[int, int] | None:
     if kind == "phone":
         if not 7 <= digits <= 15 or letters or any(c.isalnum() or c in "_/" for c in beside):
             return None
-        return None if re.fullmatch(r"\d{4}-\d\d-\d\d|\d{9,15}|\d+\.\d+\.\d+\.\d+|\d{8}\.\d+|\d{4}-\d{4}", text) else (s, e)
+        if re.fullmatch(r"\d{9,15}", text) and not _CALLED.search(line[:s]):
+            return None
+        return None if re.fullmatch(r"\d{4}-\d\d-\d\d|\d+\.\d+\.\d+\.\d+|\d{8}\.\d+|\d{4}-\d{4}", text) else (s, e)
     if kind == "id_number":
         if not 6 <= digits <= 16 or letters > 4 or any(c.isalnum() or c in "_/+=-" for c in beside) or letters and re.fullmatch("[0-9a-f]+", text):
             return None
-        return None if re.fullmatch(r"\d{4}-\d\d-\d\d|\d{4}-\d{4}|\d{10}|\d{12,}|[\d.]+\.\d+|[0-9a-f]{8}-[0-9a-f-]+", text) else (s, e)
+        if re.fullmatch(r"\d{10}|\d{12,}", text) and not _NUMBERED.search(line[:s]):
+            return None
+        return None if re.fullmatch(r"\d{4}-\d\d-\d\d|\d{4}-\d{4}|[\d.]+\.\d+|[0-9a-f]{8}-[0-9a-f-]+", text) else (s, e)
     if kind == "address":
         if "@" in text:
             return None
@@ -346,11 +305,10 @@ def _parts(batch: pa.RecordBatch, size: int = 1000) -> Iterator[pa.RecordBatch]:
         yield batch.slice(i, size)
 
 
-def scan(texts: DataFrame, columns: list[str], model: str = MODEL, rare: int = RARE) -> DataFrame:
+def scan(texts: DataFrame, columns: list[str], model: str = MODEL, words: str | Path = WORDS) -> DataFrame:
     """texts (columns, text) -> (columns, kind, line_no, begin, end): one row per item, places counted in characters of its line."""
     share = texts.sparkSession.sparkContext.broadcast
-    weights = Path(model).read_bytes()
-    common, raw = share(common_words(texts, weights, rare)), share(weights)
+    common, raw = share(fixed_words(words)), share(Path(model).read_bytes())
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = _scanner(raw.value, common.value)
@@ -374,11 +332,10 @@ def scan(texts: DataFrame, columns: list[str], model: str = MODEL, rare: int = R
     return texts.select(*columns, "text").mapInArrow(work, schema)
 
 
-def redacted(texts: DataFrame, columns: list[str], model: str = MODEL, rare: int = RARE) -> DataFrame:
+def redacted(texts: DataFrame, columns: list[str], model: str = MODEL, words: str | Path = WORDS) -> DataFrame:
     """texts (columns, text) -> (columns, text, items), every item replaced by [KIND]; the rest stays as it was."""
     share = texts.sparkSession.sparkContext.broadcast
-    weights = Path(model).read_bytes()
-    common, raw = share(common_words(texts, weights, rare)), share(weights)
+    common, raw = share(fixed_words(words)), share(Path(model).read_bytes())
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = _scanner(raw.value, common.value)

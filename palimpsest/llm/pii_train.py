@@ -11,11 +11,13 @@ from __future__ import annotations
 import random
 import re
 import sys
+from collections import Counter
+from collections.abc import Iterable
 from pathlib import Path
 
 import numpy as np
 
-from palimpsest.llm.pii import MODEL, WORDS, common_words_of, plausible
+from palimpsest.llm.pii import MODEL, WORDS, plausible
 from palimpsest.llm.tagger import KINDS, Tagger, codes, train
 
 LINES = 24_000
@@ -179,6 +181,15 @@ def tags_of(n: int, spans: list[tuple[int, int, str]]) -> np.ndarray:
     return t
 
 
+def common_words_of(texts: Iterable[str], rare: int = 1000) -> set[str]:
+    """The words that stand in one of so many training texts at least."""
+    n, count = 0, Counter()
+    for t in texts:
+        n += 1
+        count.update(set(re.findall(r"[^\W\d_]{2,}", t)))
+    return {w for w, c in count.items() if c * rare >= n}
+
+
 def words_of(common: set[str], first: set[str], last: set[str]) -> list[str]:
     """The common words that no lexicon holds as part of a name."""
     return sorted(w for w in common if w.lower() not in first and w.lower() not in last)
