@@ -1,4 +1,4 @@
-"""Configuration formats read into scalar values with their key paths and offsets: YAML, JSON, TOML, INI and HCL.
+"""Configuration formats read into scalar values with their key paths and offsets: YAML, JSON, TOML, INI, HCL and XML.
 
 The readers are tolerant: what they cannot read they pass over, so that fragments, templates and comments between do no harm.
 Offsets are those of the text given; a value is without its quotes.
@@ -14,6 +14,7 @@ from typing import NamedTuple
 #: The reader of every format, by file extension or by the language of a fenced block.
 READERS = dict.fromkeys("yaml yml".split(), "yaml") | dict.fromkeys("json jsonc json5 tfstate webmanifest hcl tf tfvars terraform nomad".split(), "braces")
 READERS |= {"toml": "toml"} | dict.fromkeys("ini cfg conf cnf properties".split(), "ini")
+READERS |= dict.fromkeys("xml config csproj vbproj props targets plist nuspec resx settings".split(), "xml")
 
 
 class Entry(NamedTuple):
@@ -234,12 +235,48 @@ def ini(text: str, lo: int, hi: int) -> Iterator[Entry]:
         at = end + 1
 
 
+_MARKUP = re.compile(r"""<!--[\s\S]*?-->|<\?[\s\S]*?\?>|<!\[CDATA\[(?P<data>[\s\S]*?)\]\]>|<(?P<end>/)?(?P<name>[A-Za-z_][\w.:-]*)(?P<rest>(?:"[^"]*"|'[^']*'|[^<>"'])*)>|(?P<text>[^<]+)""")
+_ATTRIBUTE = re.compile(r"""([A-Za-z_][\w.:-]*)\s*=\s*(?:"([^"]*)"|'([^']*)')""")
+
+
+def xml(text: str, lo: int, hi: int) -> Iterator[Entry]:
+    """Attributes and texts of elements; a text after an element <key> has that element's text for its key, as in property lists."""
+    stack: list[list] = [["", None, 0]]  # element, text of the last <key> in it, number
+    n = 0
+    for m in _MARKUP.finditer(text, lo, hi):
+        group = "text" if m["text"] is not None else "data"
+        if m[group] is not None:
+            value, (name, _, _) = m[group].strip(), stack[-1]
+            if not value or len(stack) == 1:
+                continue
+            parent = stack[-2]
+            if name == "key":
+                parent[1] = value
+            s = m.start(group) + m[group].index(value)
+            above = [x for name, key, _ in stack[1:-1] for x in ((name, key) if key else (name,))]
+            yield Entry((*above, name) if not parent[1] or name == "key" else tuple(above), s, s + len(value), -parent[2])
+        elif m["name"] and m["end"]:
+            while len(stack) > 1:  # elements that were not closed end with those around them
+                name = stack.pop()[0]
+                if name == m["name"]:
+                    if name != "key":
+                        stack[-1][1] = None
+                    break
+        elif m["name"]:
+            n += 1
+            for a in _ATTRIBUTE.finditer(text, m.start("rest"), m.end("rest")):
+                g = 2 if a[2] is not None else 3
+                yield Entry((*(name for name, _, _ in stack[1:]), m["name"], a[1]), a.start(g), a.end(g), n)
+            if not m["rest"].rstrip().endswith("/"):
+                stack.append([m["name"], None, n])
+
+
 _COMMENTED = re.compile(r"(?m)(?:^[ \t]*(?:#|//|;)[^\n]*(?:\n|\Z))+")
 
 
 def entries(text: str, lo: int, hi: int, reader: str) -> list[list[Entry]]:
     """The entries of text[lo:hi], and those of lines that are commented out there: in their place, and every run by itself."""
-    read = {"yaml": yaml, "ini": ini, "braces": braces, "toml": lambda t, a, b: braces(t, a, b, sections=True)}[reader]
+    read = {"yaml": yaml, "ini": ini, "braces": braces, "xml": xml, "toml": lambda t, a, b: braces(t, a, b, sections=True)}[reader]
     out = [list(read(text, lo, hi))]
     runs = list(_COMMENTED.finditer(text, lo, hi))
     if runs:

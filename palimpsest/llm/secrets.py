@@ -2,7 +2,7 @@
 
 Method: a text is read as a file of its format (by its name, or by the language of a fenced block) into entries of key path,
 value and offsets; an entry is a credential if its key is named like one and its value has the shape of one; a key that says nothing by
-itself (default, value, prod, a place in a list) has the name of what it stands in. YAML, JSON, TOML, INI and HCL are read by
+itself (default, value, prod, a place in a list) has the name of what it stands in. YAML, JSON, TOML, INI, HCL and XML are read by
 keypaths.py; lines of every text, also of these, are read by patterns for single assignments. Headers, logins in
 addresses, command options and known token shapes count wherever they stand. A finding is the span of the value alone, and
 redaction splices a mask over these spans of the original bytes, so quotes, indentation and line ends stay as they were.
@@ -160,11 +160,17 @@ def _entries(text: str, lo: int, hi: int, fmt: str) -> Iterator[tuple[int, int,
     for some in keypaths.entries(text, lo, hi, reader):
         some = [e for e in some if e.path]
         names = {e.within: text[e.start : e.end] for e in some if isinstance(e.path[-1], str) and e.path[-1].lower() in _NAMING}
+        kinds = {e.path[:-1] for e in some if e.path[-1] == "kind" and text[e.start : e.end] == "Secret"} if reader == "braces" else ()
         for e in some:
             path, v = e.path, text[e.start : e.end]
             if e.within in names and isinstance(path[-1], str) and _inherits(path[-1]):  # {name: ..., value: ...}
                 path = (*path[:-1], names[e.within], path[-1])
             how = path_named(path)
+            if kinds and any(path[: len(k)] == k and path[len(k) : len(k) + 1] in (("data",), ("stringData",)) for k in kinds):
+                inner = _decoded(v) if path[-2] == "data" else v
+                if literal(v) and (inner or shaped(v)) and literal(inner or "ok1!ok"):
+                    yield e.start, e.end, "entry", ".".join(map(str, path))
+                continue
             v = re.sub(r"\s+", "", v) if "\n" in v else v
             if how and shaped(v, strict=how == "held") and not HEADER.fullmatch(v) and not (how == "held" and _SLUG.fullmatch(v)):
                 yield e.start, e.end, "entry", ".".join(map(str, path))
@@ -207,9 +213,14 @@ def _decoded(value: str) -> str | None:
     return text if text.strip() and all(c.isprintable() or c in "\r\n\t" for c in text) else None
 
 
-def _bare(value: str, fmt: str) -> str:
-    """A value without quotes: up to a comment, and to the first blank where the format says so."""
+def _bare(value: str, fmt: str, before: str = "") -> str:
+    """A value without quotes: up to a comment, to the end of a quoted text that holds it (a connection string; before is what
+    the line has before the value) and of its part of that, and to the first blank where the format says so."""
     v = re.split(r"\s+[#;]|\s+//", value, maxsplit=1)[0].rstrip().rstrip("\r")
+    for q in "\"'":
+        if before.count(q) % 2:
+            v = v.split(q, 1)[0]
+    v = re.split(r";(?=\s*(?:[A-Za-z][\w ]*=|$))", v, maxsplit=1)[0]
     if fmt in ("yaml", "yml"):
         v = v.rstrip(",")
     elif fmt in ("sh", "bash", "zsh", "shell", "console", "dockerfile", "docker", ""):
@@ -292,7 +303,7 @@ def _line(line: str, fmt: str, prose: bool) -> Iterator[tuple[int, int, str, str
             if d and shaped(d[1]):
                 yield s + d.start(1), s + d.end(1), "entry", key
             if fmt not in CODE or COMMENT.match(line):
-                v = _bare(rest, "sh" if fmt in CODE else fmt)
+                v = _bare(rest, "sh" if fmt in CODE else fmt, line[:s])
                 if shaped(v) and not re.match(r"[A-Za-z_][\w.]*[(\[]", v) and not v.startswith(("{", "[", "(")):
                     yield s, s + len(v), "entry", key
     for m in CALL.finditer(line):
@@ -436,17 +447,24 @@ def find_secrets(text: str | None, path: str | None = None) -> list[Finding]:
                     inside = False
                 at += len(raw)
     if _HINT.search(low):
-        apart: list[list[int]] = []
-        for s, e in sorted((s, e) for s, e, _, _ in found):
-            if apart and s < apart[-1][1]:
-                apart[-1][1] = max(e, apart[-1][1])
+        found.sort()
+        more, apart = [], []  # apart: begin, end and findings of what overlaps
+        for f in found:
+            if apart and f[0] < apart[-1][1]:
+                apart[-1][1] = max(f[1], apart[-1][1])
+                apart[-1][2].append(f)
             else:
-                apart.append([s, e])
+                apart.append([f[0], f[1], [f]])
         for lo, hi, fmt, _ in _config(text, parts):
             for f in _entries(text, lo, hi, fmt):
                 k = bisect_right(apart, f[0], key=lambda a: a[0])
-                if (not k or apart[k - 1][1] <= f[0]) and (k == len(apart) or apart[k][0] >= f[1]):
-                    found.append(f)
+                met = [a for a in apart[max(0, k - 1) : k + 1] if a[0] < f[1] and f[0] < a[1]]
+                if not met:
+                    more.append(f)
+                elif len(met) == 1 and all(o[2] == "entry" for o in met[0][2]) and "\n" not in text[f[0] : f[1]]:
+                    # the reader knows where the value ends and what the whole key path is
+                    met[0][2] = [f]
+        found = [*(f for a in apart for f in a[2]), *more]
     found.sort(key=lambda f: (f[0], -f[1]))
     out: list[Finding] = []
     for s, e, k, key in found:
@@ -465,17 +483,12 @@ def redact(text: str | None, path: str | None = None, mask: str = "REDACTED") ->
     inside a private key stay, so that line numbers do."""
     if not text:
         return text
-    data, at, out = text.encode("utf-8", "surrogatepass"), 0, []
-    pos = 0
+    out, pos = [], 0
     for f in find_secrets(text, path):
-        s = at + len(text[pos : f.start].encode("utf-8", "surrogatepass"))
         value = text[f.start : f.end]
-        e = s + len(value.encode("utf-8", "surrogatepass"))
-        out.append((s, e, re.sub(r"[^\r\n]+", mask, value).encode() if f.kind == "private_key" else mask.encode()))
-        at, pos = e, f.end
-    for s, e, new in reversed(out):
-        data = data[:s] + new + data[e:]
-    return data.decode("utf-8", "surrogatepass")
+        out += [text[pos : f.start], re.sub(r"[^\r\n]+", mask, value) if f.kind == "private_key" else mask]
+        pos = f.end
+    return "".join([*out, text[pos:]])
 
 
 def scan(files: DataFrame) -> DataFrame:
