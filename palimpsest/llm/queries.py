@@ -16,8 +16,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 TIES = ("repo", "skill_id", "skill_cluster_id")
 
 
-def _p1_texts(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "diffs").where("pair_id is not null")
+def _p1_texts(spark: SparkSession, d: str, single: bool = False) -> DataFrame:
+    """Every text of a record; single: of the fuller delivery alone."""
+    rows = table(spark, d, "diffs")
+    rows = once(rows, "pair_id", ["pr_body", "after_content"], ("before_content", "after_content")) if single else rows.where("pair_id is not null")
     parts = F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("text")) for c in ("pr_body", "after_content")]))
     return spread(rows.select("pair_id", "pr_body", "after_content")).select("pair_id", parts.alias("p")).select("pair_id", "p.field", "p.text").where("text is not null and text <> ''")
 
@@ -34,17 +36,21 @@ def p1_kinds(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_redacted(spark: SparkSession, d: str) -> DataFrame:
-    return pii.redacted(_p1_texts(spark, d), ["pair_id", "field"]).distinct()
+    return pii.redacted(_p1_texts(spark, d, single=True), ["pair_id", "field"])
 
 
-def _p2_files(spark: SparkSession, d: str) -> DataFrame:
-    """All texts that may hold credentials; exact repeats and second deliveries are told apart by the result's rows."""
-    f = table(spark, d, "bundled").where("skill_id is not null").select("skill_id", F.explode("bundled_files").alias("f"))
+def _p2_files(spark: SparkSession, d: str, single: bool = False) -> DataFrame:
+    """All texts that may hold credentials, of every delivery; single: of the fuller delivery alone."""
+    bundled, diffs = table(spark, d, "bundled"), table(spark, d, "diffs")
+    if single:
+        bundled = once(bundled, "skill_id", ["bundled_files"], ["bundled_files"])
+        diffs = once(diffs, "pair_id", ["after_content"], ("before_content", "after_content"))
+    f = bundled.where("skill_id is not null").select("skill_id", F.explode("bundled_files").alias("f"))
     files = f.select(
         F.lit("bundled").alias("source_table"), F.col("skill_id").alias("record_id"), F.col("f.path").alias("file_path"),
         F.col("f.content").alias("content"), F.lit(True).alias("is_file"),
     )
-    texts = table(spark, d, "diffs").where("pair_id is not null").select(
+    texts = diffs.where("pair_id is not null").select(
         F.lit("diffs").alias("source_table"), F.col("pair_id").alias("record_id"), F.lit("after_content").alias("file_path"),
         F.col("after_content").alias("content"), F.lit(False).alias("is_file"),
     )
@@ -62,7 +68,7 @@ def p2_kinds(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p2_redacted(spark: SparkSession, d: str) -> DataFrame:
-    return secrets.redacted(_p2_files(spark, d)).distinct()
+    return secrets.redacted(_p2_files(spark, d, single=True))
 
 
 def _p3(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:

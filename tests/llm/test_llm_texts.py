@@ -1,7 +1,12 @@
 """Personal data, credentials, residue, tokens, mixtures and reading levels on small fixtures."""
 
+import configparser
+import json
 import os
 import random
+import time
+import tomllib
+from xml.etree import ElementTree
 
 import numpy as np
 import pytest
@@ -68,6 +73,46 @@ def test_repeated_items_stay_items(spark):
     assert {g[1:] for g in got if g[0] == "4"} == {g[1:] for g in got if g[0] == "8"}
 
 
+TEAM = ["Thanks to Wanda Cranndale for the idea.", "Zora Kellovic keeps the cache warm.", "Mail t.steningham@quillnet.lan first.", "Call +1 308 555 0108 at night."]
+
+
+def test_what_is_found_does_not_depend_on_other_records(spark):
+    r = random.Random(3)
+    words = "route parser ledger index cache gateway schema draft session counter bridge matrix".split()
+    filler = lambda: "\n".join(" ".join(r.choice(words) for _ in range(8)) + "." for _ in range(4))
+    for share in (200, 10, 3, 1):  # one row in so many holds the lines; of these 600 rows or of one row
+        rows = [(i, filler() + ("\n" + "\n".join(TEAM) if i % share == 0 else "")) for i in range(600)]
+        got = pii.scan(spark.createDataFrame(rows, "id int, text string"), ["id"]).groupBy("id").agg(F.array_sort(F.collect_list(F.struct("kind", "line_no"))).alias("x")).collect()
+        assert len(got) == -(-600 // share) and {tuple(map(tuple, g["x"])) for g in got} == {(("email", 7), ("name", 5), ("name", 6), ("phone", 8))}, share
+    alone = pii.scan(spark.createDataFrame(rows[:1], "id int, text string"), ["id"]).count()
+    assert alone == 4
+
+
+def test_redaction_takes_items_and_nothing_else(spark):
+    r = random.Random(5)
+    parts = [*TEAM, "plain words\r", "", "| a | b@c |", "- Phone: +1 308 555 0108", "Ship the cache to 14 Elm Road, Aford.", "x" * 500, "日本語の行"]
+    rows = [(i, "\n".join(r.choice(parts) for _ in range(r.randint(0, 12)))) for i in range(120)]
+    df = spark.createDataFrame(rows, "id int, text string")
+    items = {}
+    for x in pii.scan(df, ["id"]).collect():
+        items.setdefault(x["id"], []).append((x["line_no"], x["begin"], x["end"], x["kind"]))
+    out = {x["id"]: (x["text"], x["items"]) for x in pii.redacted(df, ["id"]).collect()}
+    for i, text in rows:
+        lines = text.split("\n")
+        for n, b, e, k in sorted(items.get(i, []), reverse=True):
+            lines[n - 1] = lines[n - 1][:b] + f"[{k.upper()}]" + lines[n - 1][e:]
+        assert out[i] == ("\n".join(lines), len(items.get(i, [])))
+    again = spark.createDataFrame([(i, t) for i, (t, _) in out.items()], "id int, text string")
+    assert pii.scan(again, ["id"]).isEmpty()
+
+
+@pytest.mark.parametrize("line, kind", [("Tel: 4025550171", "phone"), ("passport no. 4025550171", "id_number"), ("epoch 1725372653 must match", None), ("checksum 810438271354", None)])
+def test_bare_numbers_count_where_they_are_named(line, kind):
+    s = next(i for i, c in enumerate(line) if c.isdigit())
+    e = s + next((i for i, c in enumerate(line[s:]) if not c.isdigit()), len(line) - s)
+    assert {k for k in ("phone", "id_number") if pii._exact(line, s, e, k)} == ({kind} if kind else set())
+
+
 def test_addresses_in_comments():
     text = "---\n# Ship to 9 Elm Road, Aford\n---\n# Ship to 14 Elm Road, Aford\n## 12 Config Notifier\n```sh\n# Ship to 18 Elm Road, Aford\n# 12 Config Notifier\n```\n## 12 Config Notifier"
     lines = text.split("\n")
@@ -140,6 +185,60 @@ def test_secrets_by_key_path(path, text, want):
     assert found(text, path) == want
 
 
+V, W = "fQ7mZx2KpL9vRt4B", "hJ3nWs8YcD5uGk6T"
+
+
+@pytest.mark.parametrize(
+    "path, text, keys",
+    [
+        ("a.yaml", f"password:\n  value: {V}\n", ["password.value"]),
+        ("a.yaml", f"password: &pw {V}\nother: *pw\n", ["password"]),
+        ("a.yaml", f"db: {{user: x, password: {V}}}\n", ["db.password"]),
+        ("a.yaml", f"- name: API_TOKEN\n  scope: x\n  value: {V}\n", ["0.API_TOKEN.value"]),
+        ("a.yml", f"secrets:\n  stripe: {V}\n  other: {W}\n", ["secrets.stripe", "secrets.other"]),
+        ("a.yml", f"api_keys:\n  - {V}\n  - {W}\n", ["api_keys.0", "api_keys.1"]),
+        ("a.json", '{"auth": {"password": {"default": "%s"}}}' % V, ["auth.password.default"]),
+        ("a.json", '{"api_keys": ["%s", "%s"]}' % (V, W), ["api_keys.0", "api_keys.1"]),
+        ("a.json", '{"kind": "Secret", "metadata": {"name": "x"}, "stringData": {"stripe": "%s"}}' % V, ["stringData.stripe"]),
+        ("a.toml", f'[secrets]\nstripe = "{V}"\n', ["secrets.stripe"]),
+        ("a.toml", f'dsn = "Server=a;Id=b;Password={V};"\n', ["Password"]),
+        ("a.ini", f"[credentials]\nstripe = {V}\n", ["credentials.stripe"]),
+        ("a.config", f'<configuration><appSettings>\n<add key="ApiToken" value="{V}"/>\n</appSettings></configuration>', ["configuration.appSettings.add.ApiToken.value"]),
+        ("a.xml", f'<x><auth><password><value>{V}</value></password></auth><conn password="{W}"/></x>', ["x.auth.password.value", "x.conn.password"]),
+        ("a.plist", f"<dict>\n<key>Name</key><string>{W}</string>\n<key>ApiToken</key>\n<string>{V}</string>\n</dict>", ["dict.ApiToken"]),
+    ],
+)
+def test_redacted_configuration_parses_with_the_same_keys(path, text, keys):
+    def shape(t):
+        kind = path.rsplit(".", 1)[-1]
+        if kind in ("yaml", "yml"):
+            yaml = pytest.importorskip("yaml")
+            return yaml.safe_load(t)
+        if kind == "json":
+            return json.loads(t)
+        if kind == "toml":
+            return tomllib.loads(t)
+        if kind == "ini":
+            c = configparser.ConfigParser()
+            c.read_string(t)
+            return {s: dict(c[s]) for s in c.sections()}
+        return [(e.tag, e.attrib, (e.text or "").strip()) for e in ElementTree.fromstring(t).iter()]
+
+    def masked(x):
+        if isinstance(x, str):
+            return x.replace(V, "REDACTED").replace(W, "REDACTED") if not path.endswith("plist") else x.replace(V, "REDACTED")
+        return {k: masked(v) for k, v in x.items()} if isinstance(x, dict) else type(x)(map(masked, x)) if isinstance(x, list | tuple) else x
+
+    assert [f.key for f in secrets.find_secrets(text, path)] == keys
+    assert shape(secrets.redact(text, path)) == masked(shape(text))
+
+
+def test_redaction_of_many_findings_is_linear():
+    text = "".join(f"token_{i}: {V}{i}\n" for i in range(20_000))
+    began = time.time()
+    assert secrets.redact(text, "a.env").count("REDACTED") == 20_000 and time.time() - began < 60
+
+
 def test_key_paths_go_on_after_what_cannot_be_read():
     text = "a: [draft\nb: {{ x }}\nc: \"open\nd: {e: [1,\n  2], f: 'g'}\nh:\n  - 'two\n    lines'\n"
     got = [(e.path, text[e.start : e.end]) for e in keypaths.entries(text, 0, len(text), "yaml")[0]]
