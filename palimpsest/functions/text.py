@@ -56,6 +56,38 @@ def stable_id(*parts: Column) -> Column:
     return F.left(F.sha1(F.concat(*[x for p in parts for x in (text_of(p), F.lit("\x00"))])), F.lit(16))
 
 
+def short_id(c: Column) -> Column:
+    """First 16 hex digits of a text's SHA-1."""
+    return F.left(F.sha1(c), F.lit(16))
+
+
+def safe_name(c: Column) -> Column:
+    """A key as the name of a file or folder."""
+    return F.replace(c, F.lit("/"), F.lit("__"))
+
+
+def iso_time(c: Column) -> Column:
+    """An instant as ISO text in UTC, to the second."""
+    return F.date_format(F.to_utc_timestamp(c, F.expr("current_timezone()")), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+def duration(seconds: Column) -> Column:
+    """Whole seconds as 1h05m, or 7m below an hour."""
+    s = seconds.cast("bigint")
+    h, m = F.floor(s / 3600), F.floor(F.pmod(s, F.lit(3600)) / 60)
+    return F.when(h > 0, F.concat(h.cast("string"), F.lit("h"), F.lpad(m.cast("string"), 2, "0"), F.lit("m"))).otherwise(F.concat(m.cast("string"), F.lit("m")))
+
+
+def archive_sha(root: Column) -> Column:
+    """The commit at the end of the root folder's name of a repository's archive, '' if there is none."""
+    return F.regexp_extract(root, r"^.+-([0-9a-f]{7,40})$", 1)
+
+
+def share(part: Column, whole: Column) -> Column:
+    """Percent, 0 of nothing."""
+    return 100.0 * part / F.greatest(whole, F.lit(1))
+
+
 def content_hash(c: Column) -> Column:
     return F.sha2(c, 256)
 
@@ -81,13 +113,29 @@ def repo_slug(url: Column) -> Column:
 def cursor_rule(path: Column) -> Column:
     """Whether a path holds an editor rule: a .cursorrules file, or a .mdc or .md file below .cursor/rules."""
     base, parts = F.lower(basename(path)), F.split(F.lower(path), "/")
+    dirs = F.slice(parts, F.lit(1), F.greatest(F.size(parts) - 1, F.lit(0)))
     return (
         (base == ".cursorrules")
-        | base.rlike(r"^\.cursorrules.*\.(md|txt|mdc)$")
-        | (F.array_contains(parts, ".cursor") & F.array_contains(parts, "rules") & base.rlike(r"\.(mdc|md)$"))
+        | base.rlike(r"^\.cursorrules.*\.(md|txt|mdx)$")
+        | (F.array_contains(dirs, ".cursor") & F.array_contains(dirs, "rules") & base.rlike(r"\.(mdc|md)$"))
     )
 
 
+def cursor_rule_found(path: Column) -> Column:
+    """The looser rule of searches: any .mdc file, any name that begins with .cursorrules, .md files of .cursor/rules."""
+    p = F.lower(path)
+    return F.lower(basename(path)).startswith(".cursorrules") | (p.contains(".cursor/rules/") & p.rlike(r"\.(mdc|md)$")) | p.endswith(".mdc")
+
+
+def rule_name(path: Column) -> Column:
+    """The name of an editor rule by its path."""
+    base = basename(path)
+    stem = F.regexp_replace(base, r"(?<=.)\.[^.]*$", "")
+    dotted = F.regexp_replace(stem, r"^\.+", "")
+    root = F.lit("cursorrules-root")
+    return F.when(F.lower(base) == ".cursorrules", root).when(F.lower(base).startswith(".cursorrules"), F.coalesce(F.nullif(dotted, F.lit("")), root)).otherwise(stem)
+
+
 def outer_fence_removed(c: Column) -> Column:
     """A model's answer without the code fence around it."""
     s = strip(c)

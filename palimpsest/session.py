@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -37,9 +38,12 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; only where that is unset, a folder of this machine's own, which then is set."""
+    """The folder in spark.checkpoint.dir. Where that is unset a session on one machine gets a folder of its own, which then is
+    set; on a cluster, whose executors would not see that folder, it is an error."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="palimpsest-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")

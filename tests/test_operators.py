@@ -8,6 +8,7 @@ import tarfile
 import pytest
 from pyspark.sql import functions as F
 
+from palimpsest.functions import text
 from palimpsest.operators import chain, dims, minhash, subset, vectors
 from palimpsest.operators.components import connected_components
 from palimpsest.operators.records import fuller, once
@@ -144,21 +145,57 @@ def test_other_files(spark, tmp_path):
     sinks.append_journal(log.where("at = 1"), str(tmp_path / "j"))
     sinks.append_journal(log.where("at = 2"), str(tmp_path / "j"))
     assert {x["repo"]: x["status"] for x in files.journal(spark, str(tmp_path / "j"), "repo string, status string, at int", "repo", "at").collect()} == {"r": "ok", "s": "ok"}
-    (tmp_path / "x.log").write_text("start\n1/10 done\n7/10 done\n")
-    assert [(x["done"], x["total"]) for x in files.log_progress(spark, str(tmp_path / "x.log")).collect()] == [(7, 10)]
+    (tmp_path / "x.log").write_text("start\n[9/10] eta=4s\n[7/1,000] eta=90s\nlast words\n")
+    (tmp_path / "y.log").write_text("3/3\nexit: 0\n")
+    (tmp_path / "z.log").write_text("nothing yet\n")
+    logs = {x["file_name"]: tuple(x)[1:] for x in files.log_progress(spark, str(tmp_path / "*.log")).collect()}
+    assert logs == {"x.log": (7, 1000, 90, False), "y.log": (3, 3, None, True)}
     (d / "SKILL.md").write_bytes(b"ok")
     assert [x["content"] for x in files.markdown_files(spark, str(tmp_path)).collect()] == ["ok"]
 
 
 def test_versions_and_routes(spark, tmp_path):
     t = str(tmp_path / "t")
+    with pytest.raises(FileNotFoundError):
+        sinks.read_current(spark, t)
     sinks.write_version(spark.range(3), t)
     sinks.write_version(sinks.read_current(spark, t).where("id > 0"), t)  # from itself
     assert sinks.read_current(spark, t).count() == 2
+    assert len(list((tmp_path / "t" / "CURRENT").glob("0*"))) == 2, "no pointer is ever taken away"
+    for _ in range(10):
+        last = sinks.write_version(spark.range(1), t)
+    assert sinks._pointers(spark, t)[-1].endswith(last)
     sinks.route(spark.range(10), {"all": None, "even": F.col("id") % 2 == 0}, str(tmp_path / "r"))
     assert sinks.read_current(spark, str(tmp_path / "r" / "even")).count() == 5
 
 
+def test_other_sinks(spark, tmp_path):
+    df = spark.createDataFrame([("b/x", "é", 1), ("a/y", "z", 2), (None, "n", 3)], "repo string, text string, n int")
+    sinks.write_lines(df, "repo", str(tmp_path / "l"))
+    assert [x["name"] for x in files.names(spark, str(tmp_path / "l")).collect()] == ["a/y", "b/x"]
+    sinks.write_documents(df.limit(2), str(tmp_path / "d"), by="repo")
+    assert "é" in "".join(p.read_text() for p in (tmp_path / "d" / "__by=b__x").glob("*.json"))
+    sinks.write_mapping(df.union(df), "repo", "text", str(tmp_path / "m"))
+    assert {x["key"]: x["value"] for x in spark.read.json(str(tmp_path / "m")).collect()} == {"b/x": "é", "a/y": "z"}
+    base = str(tmp_path / "e")
+    for stamp, model, score in (("20240101-000000", "p:a/b", 0.1), ("20240102-000000", "p:a/b", 0.2), ("20240101-000000", "identity", 0.3)):
+        scores = spark.createDataFrame([(model, "1", "fix", None, score)], "model string, pair_id string, intent_class string, error string, exact double")
+        sinks.write_result(scores, evaluation.summary(scores), model, base, stamp)
+    assert (tmp_path / "e" / "20240102-000000__p_a_b").exists()
+    latest = {x["model"]: x["exact"] for x in chain.latest_per_key(files.results(spark, base), ["model"], ["stamp", "path"]).collect()}
+    assert latest == {"p:a/b": 0.2, "identity": 0.3}
+    assert [x["stamp"] for x in chain.last_n(files.results(spark, base), ["stamp", "model"], 1).collect()] == ["20240102-000000"]
+    spark.range(7).coalesce(1).write.parquet(str(tmp_path / "q"))
+    assert [(x["rows"], x["bytes"] > 0) for x in files.row_counts(spark, str(tmp_path / "q")).collect()] == [(7, True)]
+
+
+def test_staged_shards(spark, tmp_path):
+    spark.range(5).coalesce(1).write.parquet(str(tmp_path / "src"))
+    one = next((tmp_path / "src").glob("*.parquet")).read_bytes()
+    got = files.staged_shards(spark, ["https://x/1", "https://x/2"], lambda url: one, str(tmp_path / "stage"))
+    assert got.count() == 10 and files.staged_shards(spark, ["https://x/1"], lambda url: 1 / 0, str(tmp_path / "stage")).count() == 5
+
+
 def test_archives(spark, tmp_path):
     src = tmp_path / "r-abc"
     src.mkdir()
@@ -166,9 +203,13 @@ def test_archives(spark, tmp_path):
     (src / "b.bin").write_bytes(b"\xff\xfe\x00")
     (src / "c.txt").write_text("y" * 50)
     with tarfile.open(tmp_path / "x.tar.gz", "w:gz") as tar:
-        tar.add(src, arcname="r-abc")
-    got = {x["path"]: (x["root"], x["size"], x["content"], x["binary_or_oversize"]) for x in archives.tar_members(spark, str(tmp_path / "x.tar.gz"), most_content=20).collect()}
-    assert got == {"a.txt": ("r-abc", 4, "text", False), "b.bin": ("r-abc", 3, None, True), "c.txt": ("r-abc", 50, None, True)}
+        tar.add(src, arcname="r-abc1234")
+    (tmp_path / "bad.tar.gz").write_bytes(b"no archive")
+    (tmp_path / "big.tar.gz").write_bytes(b"x" * 5000)
+    rows = archives.tar_members(spark, str(tmp_path / "*.tar.gz"), most_content=20, most_bytes=4000).collect()
+    got = {x["path"]: (x["root"], x["head_sha"], x["size"], x["content"], x["binary_or_oversize"]) for x in rows if x["status"] == "ok"}
+    assert got == {"a.txt": ("r-abc1234", "abc1234", 4, "text", False), "b.bin": ("r-abc1234", "abc1234", 3, None, True), "c.txt": ("r-abc1234", "abc1234", 50, None, True)}
+    assert {(x["archive"].rsplit("/", 1)[-1], x["status"]) for x in rows if x["status"] != "ok"} == {("bad.tar.gz", "broken"), ("big.tar.gz", "too_large")}
 
 
 def test_git_history(spark, tmp_path):
@@ -187,6 +228,57 @@ def test_git_history(spark, tmp_path):
     assert githistory.numstat("-\t-\tx") == (0, 0) and githistory.log_records("a\x1fb\x1e") == []
 
 
+def test_git_history_of_a_repository_with_everything(spark, tmp_path):
+    repo = tmp_path / "repo"
+    (repo / "old").mkdir(parents=True)
+    (repo / ".cursor" / "rules").mkdir(parents=True)
+
+    def git(*a):
+        return subprocess.run(["git", "-C", str(repo), "-c", "user.name=A", "-c", "user.email=a@b.c", *a], check=True, capture_output=True, text=True).stdout.strip()
+
+    def commit(path, data, subject):
+        (repo / path).parent.mkdir(parents=True, exist_ok=True)
+        (repo / path).write_bytes(data)
+        git("add", "-A")
+        git("commit", "-q", "-m", subject)
+
+    git("init", "-q", "-b", "main")
+    body = b"".join(b"line %d of a long enough text\n" % i for i in range(30))
+    commit("old/skill.md", body.replace(b"line", b"other words entirely"), "first")
+    git("mv", "old", "moved")
+    git("commit", "-q", "-m", "move")
+    commit("new/SKILL.md", body, "start")
+    commit("new/SKILL.md", body + b"two\n", "grow")
+    commit("new/SKILL.md", b"\xff\xfe bad", "not text")
+    commit("new/SKILL.md", body + b"three\nfour\n", "text again")
+    git("checkout", "-q", "-b", "side", "HEAD~1")
+    commit(".cursor/rules/style.mdc", b"rule\n", "rule")
+    git("checkout", "-q", "main")
+    git("merge", "-q", "--no-ff", "-m", "merge side", "side")
+    commit(".cursorrules", b"root\n", "root rule")
+    githistory.register(spark)
+    rows = spark.read.format("githistory").option("repos", str(repo)).load().collect()
+    rows = {x["commit_subject"]: x for x in rows}
+    # before its move a file has another name, so the move is its first revision; what is no text is passed over
+    assert set(rows) == {"move", "start", "grow", "text again"}
+    assert all(rows[k]["is_initial"] and rows[k]["lines_added"] == 30 for k in ("move", "start"))
+    again = rows["text again"]
+    assert (again["lines_added"], again["lines_removed"], again["before_sha"]) == (2, 1, rows["grow"]["after_sha"]), "compared with the last text, not with the parent"
+    rules = spark.read.format("githistory").option("repos", str(repo)).option("kind", "cursor").load().collect()
+    assert {(x["skill_path"], x["skill_name"]) for x in rules} == {(".cursor/rules/style.mdc", "style"), (".cursorrules", "cursorrules-root")}
+    with pytest.raises(Exception, match="ls-tree"):
+        spark.read.format("githistory").option("repos", str(tmp_path)).load().count()
+    with pytest.raises(Exception, match="no such kind"):
+        spark.read.format("githistory").option("repos", str(repo)).option("kind", "x").load().count()
+
+
+@pytest.mark.parametrize("path", [".cursorrules", "a/.cursorrules-zh.md", "a/.cursorrules.mdx", ".cursor/rules/a.mdc", "x/.cursor/rules/b/c.MD", "rules/a.mdc", ".cursor/rules", ".cursorrules.py", ".mdc", "a.mdc"])
+def test_rules_in_python_and_in_spark_agree(spark, path):
+    c = F.lit(path)
+    row = spark.range(1).select(text.cursor_rule(c).alias("a"), text.rule_name(c).alias("b")).first()
+    assert (row["a"], row["b"]) == (githistory.is_rule(path), githistory.rule_name(path))
+
+
 def test_paged_sources(spark):
     def fetch(key, page):
         if key == "gone":
