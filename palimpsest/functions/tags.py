@@ -55,9 +55,15 @@ def tag_array(*tags: Column) -> Column:
     return F.array_sort(F.array_compact(F.array(*tags)))
 
 
+def size_facts() -> dict[str, Column]:
+    """What base tags and scores ask of the texts of a revision."""
+    after, before = text_of("after_content"), text_of("before_content")
+    return {"after_length": F.length(after), "before_length": F.length(before), "replaced": after.contains("�") | before.contains("�")}
+
+
 def base_tags(kind: Column, duplicate_after: Column, duplicate_pair: Column, before_revert: Column) -> Column:
-    """The tags of one revision; kind is its intent class, the other three come from its neighbours."""
-    subject, after, before = strip(text_of("commit_subject")), text_of("after_content"), text_of("before_content")
+    """The tags of one revision with size_facts; kind is its intent class, the other three come from its neighbours."""
+    subject = strip(text_of("commit_subject"))
     first = F.coalesce(F.col("is_initial"), F.lit(False))
     zero = F.lit(0)
     small = (F.coalesce("lines_added", zero) <= 2) & (F.coalesce("lines_removed", zero) <= 2) & (F.abs(F.coalesce("char_delta", zero)) < 40)
@@ -67,9 +73,9 @@ def base_tags(kind: Column, duplicate_after: Column, duplicate_pair: Column, bef
         tag("merge_commit", kind == "merge"),
         tag("revert_subject", F.lower(subject).startswith("revert")),
         tag("initial_commit", first),
-        tag("short_skill", (F.length(after) < 500) & ~first),
-        tag("large_blob", (F.length(before) > 200_000) | (F.length(after) > 200_000)),
-        tag("non_utf8_clean", after.contains("�") | before.contains("�")),
+        tag("short_skill", (F.col("after_length") < 500) & ~first),
+        tag("large_blob", (F.col("before_length") > 200_000) | (F.col("after_length") > 200_000)),
+        tag("non_utf8_clean", F.col("replaced")),
         tag("micro_edit", ~first & small),
         tag("duplicate_after", duplicate_after),
         tag("duplicate_pair", duplicate_pair),
@@ -95,13 +101,13 @@ def repo_tags(known: Column, spdx: Column, stars: Column, pushed_at: Column, as_
     return tag_array(tag("no_license", known & unlicensed), tag("low_engagement", known & unlicensed & (F.coalesce(stars, F.lit(0)) == 0) & ~recent))
 
 
-def quality_score(tags: Column, spdx: Column, stars: Column, pr_title: Column, kind: Column, after: Column) -> Column:
+def quality_score(tags: Column, spdx: Column, stars: Column, pr_title: Column, kind: Column, after_length: Column) -> Column:
     """The weighted sum of what speaks for a record, at most 1; a float."""
     part = lambda w, when: F.when(F.coalesce(when, F.lit(False)), F.lit(w)).otherwise(F.lit(0.0))
     none_of = lambda names: ~F.arrays_overlap(F.coalesce(tags, F.array().cast("array<string>")), F.array(*map(F.lit, names)))
     total = (
         part(0.20, spdx != "") + part(0.10, stars >= 10) + part(0.10, stars >= 100) + part(0.15, pr_title != "")
         + part(0.20, none_of(NOT_CURATED)) + part(0.10, none_of(NOT_STRICT)) + part(0.05, kind.isin("feat", "fix", "refactor", "docs"))
-        + part(0.10, F.length(text_of(after)).between(500, 30_000))
+        + part(0.10, after_length.between(500, 30_000))
     )
     return F.least(total, F.lit(1.0)).cast("float")

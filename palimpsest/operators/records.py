@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,15 +23,21 @@ def rank(df: DataFrame, columns: Sequence[str], skip: Sequence[str] = ("before_c
     return F.struct(fullness(df, skip).alias("f"), F.xxhash64(*columns).alias("h"))
 
 
-def fuller(df: DataFrame, key: str, columns: Sequence[str], skip: Sequence[str] = ("before_content", "after_content")) -> DataFrame:
-    """One row (key, columns) per non-null key: of repeated deliveries the fuller one, of equally full ones the greater hash.
+def fuller(
+    df: DataFrame, key: str, columns: Sequence[str], skip: Sequence[str] = ("before_content", "after_content"), facts: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """One row (key, columns, facts) per non-null key: of repeated deliveries the fuller one, of equally full ones the greater hash.
 
-    Deliveries with a null key are dropped, an empty table stays empty. The aggregation combines before the shuffle, and a hot
-    key holds one row per map task at most.
+    facts: expressions over all columns of df, worked out before deliveries are told apart; so what is asked of a text (its hash,
+    its length) moves in the text's place. Deliveries with a null key are dropped, an empty table stays empty. The aggregation
+    combines before the shuffle, and a hot key holds one row per map task at most.
     """
-    rows = df.where(F.col(key).isNotNull()).select(key, F.struct(*columns).alias("row"), rank(df, columns, skip).alias("best"))
+    facts = facts or {}
+    row = F.struct(*columns, *[c.alias(n) for n, c in facts.items()])
+    best = F.struct(fullness(df, skip).alias("f"), F.xxhash64(*columns, *facts.values()).alias("h"))
+    rows = df.where(F.col(key).isNotNull()).select(key, row.alias("row"), best.alias("best"))
     one = rows.groupBy(key).agg(F.max_by("row", "best").alias("row"))
-    return one.select(key, *[F.col("row").getField(c).alias(c) for c in columns])
+    return one.select(key, *[F.col("row").getField(c).alias(c) for c in (*columns, *facts)])
 
 
 def once(df: DataFrame, key: str, columns: Sequence[str], skip: Sequence[str] = ()) -> DataFrame:

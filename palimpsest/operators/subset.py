@@ -51,10 +51,52 @@ def evaluable(before: Column, after: Column, intent: Column) -> Column:
 
 
 def stratified(df: DataFrame, key: str, stratum: str, n: int, seed: int) -> DataFrame:
-    """n rows per stratum by the order of a seeded hash: the same rows on every run and layout. Each task's partial aggregation
-    cannot bound a window, so rows are first cut to those whose hash can still be among the n least of their stratum."""
+    """n rows per stratum by the order of a seeded hash: the same rows on every run and layout.
+
+    Hashes are even, so of N rows the n least lie below (n + 10 sqrt(n) + 20) / N but for one case in 10^20: the rows are cut there
+    first, by a count per stratum, and a window sees that many of a stratum, however large it is."""
     h = F.sha1(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
     rows = df.withColumn("__h", h)
-    w = Window.partitionBy(stratum, F.substring("__h", 1, 1)).orderBy("__h")
-    some = rows.withColumn("__n", F.row_number().over(w)).where(f"__n <= {n}")
+    sizes = df.groupBy(F.col(stratum).alias("__s")).agg(F.count("*").alias("__size"))
+    u = F.conv(F.substring("__h", 1, 13), 16, 10).cast("double") / float(1 << 52)
+    some = rows.join(sizes, F.col(stratum).eqNullSafe(F.col("__s"))).where(u <= float(n + 10 * n**0.5 + 20) / F.col("__size")).drop("__s", "__size")
     return some.withColumn("__n", F.row_number().over(Window.partitionBy(stratum).orderBy("__h"))).where(f"__n <= {n}").drop("__h", "__n")
+
+
+def present(df: DataFrame, required: Sequence[str], optional: Sequence[str] = ()) -> DataFrame:
+    """The required columns and those of the optional ones that df has, in this order; a required one that is missing is an error."""
+    lacking = [c for c in required if c not in df.columns]
+    if lacking:
+        raise ValueError(f"columns missing: {', '.join(lacking)}")
+    return df.select(*[f"`{c}`" for c in (*required, *[c for c in optional if c in df.columns])])
+
+
+def evaluable_first(before: Column, after: Column, intent: Column) -> Column:
+    """The first edition of evaluable: both texts long enough, no massive rewrite, the intent clear, the text not cut down."""
+    b, a = F.length(text_of(before)), F.length(text_of(after))
+    return F.coalesce((b >= 200) & (a >= 200) & (F.abs(a - b) <= 20_000) & (F.length(text_of(intent)) >= 12) & (a >= 0.3 * b), F.lit(False))
+
+
+def card(
+    df: DataFrame, platform: str | None = None, with_pr: bool = False, most_change: int | None = None, intents: Sequence[str] = (),
+    least_score: float | None = None, canonical: bool = False, edit_kinds: Sequence[str] = (),
+) -> DataFrame:
+    """The subsets a data card names: every condition given must hold; edit_kinds asks the nested diff_summary.edit_kind."""
+    tests = [
+        F.col("platform") == platform if platform else None,
+        F.coalesce("pr_title", F.lit("")) != "" if with_pr else None,
+        F.abs("char_delta") < most_change if most_change is not None else None,
+        F.col("intent_class").isin(*intents) if intents else None,
+        F.round(F.col("quality_score").cast("double"), 6) >= least_score if least_score is not None else None,
+        F.coalesce("is_canonical", F.lit(False)) if canonical else None,
+        F.col("diff_summary.edit_kind").isin(*edit_kinds) if edit_kinds else None,
+    ]
+    for t in tests:
+        df = df if t is None else df.where(t)
+    return df
+
+
+def refuse_present(df: DataFrame, column: str, value: str) -> None:
+    """An error if any row has the value: a platform is not added twice."""
+    if not df.where(F.col(column) == value).isEmpty():
+        raise ValueError(f"{column} {value!r} is there already")

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from palimpsest.operators.components import connected_components
@@ -15,10 +15,6 @@ from palimpsest.operators.components import connected_components
 BLOCK, PART = 2000, 50_000
 
 
-def dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, v: s + v)
-
-
 def neighbours(vectors: DataFrame, queries: DataFrame, key: str, vector: str, k: int, least: float = -1.0) -> DataFrame:
     """(query, key, similarity, rank): the k nearest of all vectors to every query, by inner product, ties to the smaller key.
 
@@ -32,19 +28,29 @@ def neighbours(vectors: DataFrame, queries: DataFrame, key: str, vector: str, k:
     kind = dict(vectors.dtypes)[key]
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = []
+        found = {"query": [], "id": [], "similarity": []}
         if len(left) and len(right):
-            size = len(left["v"].iloc[0])
+            size = next((len(v) for v in left["v"] if v is not None), 0)
             left, right = (x[x["v"].map(lambda a: a is not None and len(a) == size)] for x in (left, right))
-            ids = right["id"].to_numpy()
-            order = np.argsort(ids, kind="stable")
-            ids, m = ids[order], np.stack(right["v"].to_numpy())[order].astype(np.float64)
-            for i, x in zip(left["id"], left["v"], strict=True):
-                s = m @ np.asarray(x, np.float64)
-                top = np.argsort(-s, kind="stable")[:k]
-                top = top[s[top] >= least]
-                out.append(pd.DataFrame({"query": i, "id": ids[top], "similarity": s[top]}))
-        return pd.concat(out) if out else pd.DataFrame({"query": [], "id": [], "similarity": []})
+        if len(left) and len(right):
+            right = right.sort_values("id", kind="stable")
+            ids, asked = right["id"].to_numpy(), left["id"].to_numpy()
+            m, x = np.stack(right["v"].to_numpy()).astype(np.float64).T, np.stack(left["v"].to_numpy()).astype(np.float64)
+            step = max(1, 4_000_000 // len(ids))  # products held at a time
+            for i in range(0, len(x), step):
+                s = x[i : i + step] @ m
+                # the k-th greatest; whatever equals it stays until ties are settled
+                bar = -np.partition(-s, k - 1, axis=1)[:, k - 1 : k] if k < len(ids) else np.full((len(s), 1), -np.inf)
+                r, c = np.nonzero(s >= np.maximum(bar, least))
+                order = np.lexsort((c, -s[r, c], r))
+                r, c = r[order], c[order]
+                first = np.searchsorted(r, r)
+                top = np.arange(len(r)) - first < k
+                r, c = r[top], c[top]
+                found["query"].append(asked[i + r])
+                found["id"].append(ids[c])
+                found["similarity"].append(s[r, c])
+        return pd.DataFrame({c: np.concatenate(v) if v else [] for c, v in found.items()})
 
     met = q.groupBy("block", "part").cogroup(v.groupBy("block", "part")).applyInPandas(meet, f"query {kind}, id {kind}, similarity double")
     rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("similarity"), "id"))

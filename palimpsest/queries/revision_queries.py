@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from palimpsest.functions.intent import CONVENTIONAL, INFORMAL
 from palimpsest.functions.structure import diff_summary, parse_skill
 from palimpsest.functions.tags import BOTS, INJECTIONS, MAIL, NOBODY, NOT_CLEAN, NOT_CURATED, NOT_STRICT, PLACEHOLDERS, any_of, pii_email
-from palimpsest.functions.text import code_blocks, body, content_hash, headings, pair_hash, stable_id, text_of, valid_frontmatter
+from palimpsest.functions.text import body, code_blocks, content_hash, headings, pair_hash, share, stable_id, text_of, valid_frontmatter
 from palimpsest.operators.chain import before_revert, first_per_key, seen_before, with_previous
 from palimpsest.operators.subset import GENERIC, clean, curated, evaluable, has_none, intent_text, stratified
-from palimpsest.plans.revisions import CHAIN, ORDER, TAG_COLUMNS, consolidated, repositories, revisions, same_author, with_base_tags, with_intent
+from palimpsest.plans.revisions import CHAIN, ORDER, consolidated, identity_facts, revisions, same_author, tagged, with_intent
 
 joined = lambda c: F.array_join(c, ",")
 _q = lambda s: s.replace("'", "''")
@@ -86,10 +86,9 @@ def stable_ids(spark, d):
 
 
 def content_and_pair_hash(spark, d):
-    df = revisions(spark, d, ["before_content", "after_content", "commit_email"])
     b, a = F.col("before_content"), F.col("after_content")
     author = F.sha1(F.concat("commit_email", F.lit("\x00"), "after_content"))
-    return df.select("pair_id", content_hash(a).alias("after_hash"), pair_hash(b, a).alias("pair_hash"), author.alias("author_hash"))
+    return revisions(spark, d, [], {"after_hash": content_hash(a), "pair_hash": pair_hash(b, a), "author_hash": author})
 
 
 _INTENT_COLS = ["commit_subject", "is_initial", "lines_added", "lines_removed", "char_delta"]
@@ -104,25 +103,21 @@ def intent_classes(spark, d):
     return with_intent(revisions(spark, d, _INTENT_COLS)).groupBy("intent_class").agg(F.count("*").alias("n"))
 
 
-def _tagged(spark, d, extra=()):
-    return with_base_tags(with_intent(revisions(spark, d, [*TAG_COLUMNS, *extra])))
-
-
 def quality_tags_base(spark, d):
-    return _tagged(spark, d).select("pair_id", joined("quality_tags").alias("tags"))
+    return tagged(spark, d).select("pair_id", joined("quality_tags").alias("tags"))
 
 
 def tag_counts(spark, d):
-    df = _tagged(spark, d).select(F.explode("quality_tags").alias("tag"), "pair_id")
+    df = tagged(spark, d).select(F.explode("quality_tags").alias("tag"), "pair_id")
     return df.groupBy("tag").agg(F.count("*").alias("n"))
 
 
 def clean_subset(spark, d):
-    return clean(_tagged(spark, d)).select("pair_id", "repo", "intent_class")
+    return clean(tagged(spark, d)).select("pair_id", "repo", "intent_class")
 
 
 def clean_with_initial(spark, d):
-    return clean(_tagged(spark, d), include_initial=True).groupBy("is_initial").agg(F.count("*").alias("n"))
+    return clean(tagged(spark, d), include_initial=True).groupBy("is_initial").agg(F.count("*").alias("n"))
 
 
 def initial_subset(spark, d):
@@ -130,7 +125,7 @@ def initial_subset(spark, d):
 
 
 def repo_rollup(spark, d):
-    df = _tagged(spark, d)
+    df = tagged(spark, d)
     first = F.coalesce("is_initial", F.lit(False))
     ok = ~first & has_none(F.col("quality_tags"), NOT_CLEAN)
     return df.groupBy("repo", "platform").agg(
@@ -139,10 +134,11 @@ def repo_rollup(spark, d):
 
 
 def corpus_stats(spark, d):
-    df = revisions(spark, d, ["repo", "skill_id", "after_content"])
+    df = revisions(spark, d, ["repo", "skill_id"], {"h": content_hash(F.col("after_content"))})
+    texts = F.countDistinct("h")
     return df.agg(
-        F.count("*").alias("records"), F.countDistinct("repo").alias("repos"), F.countDistinct("skill_id").alias("skills"), F.countDistinct(content_hash(F.col("after_content"))).alias("texts"),
-        F.round(100.0 * (1 - F.countDistinct(content_hash(F.col("after_content"))) / F.greatest(F.count("after_content"), F.lit(1))), 4).alias("repeated_percent"),
+        F.count("*").alias("records"), F.countDistinct("repo").alias("repos"), F.countDistinct("skill_id").alias("skills"), texts.alias("texts"),
+        F.round(share(F.count("h") - texts, F.count("h")), 4).alias("repeated_percent"),
     )
 
 
@@ -165,9 +161,11 @@ def chain_length_histogram(spark, d):
 
 
 def before_after_pairs(spark, d):
-    df = revisions(spark, d, [*CHAIN, "after_content", "commit_date"])
-    out = with_previous(df.withColumn("h", F.sha2("after_content", 256)).withColumn("len", F.length("after_content")), CHAIN, ORDER, "h", "previous")
-    return out.select("pair_id", "previous", "is_first")
+    """The previous text of the chain (as its hash), and what the text grew by."""
+    df = revisions(spark, d, [*CHAIN, "commit_date"], {"now": F.struct(F.sha2("after_content", 256).alias("h"), F.length("after_content").alias("n"))})
+    out = with_previous(df.withColumn("now", F.when(F.col("now.h").isNotNull(), F.col("now"))), CHAIN, ORDER, "now", "before")
+    grown = F.coalesce("now.n", F.lit(0)) - F.coalesce("before.n", F.lit(0))
+    return out.select("pair_id", F.col("before.h").alias("previous"), "is_first", grown.alias("char_delta"))
 
 
 def pre_revert(spark, d):
@@ -176,33 +174,30 @@ def pre_revert(spark, d):
 
 
 def duplicate_after(spark, d):
-    return _tagged(spark, d).where("duplicate_after").select("pair_id", "family")
+    return tagged(spark, d).where("duplicate_after").select("pair_id", "family")
 
 
 def duplicate_pair(spark, d):
-    return _tagged(spark, d).where("duplicate_pair").select("pair_id", "family")
+    return tagged(spark, d).where("duplicate_pair").select("pair_id", "family")
 
 
 def same_author_dup(spark, d):
-    df = revisions(spark, d, ["commit_email", "after_content", "commit_date"])
+    df = revisions(spark, d, ["commit_date"], identity_facts())
     return same_author(df).where("same_author_dup").select("pair_id")
 
 
 def frontmatter_valid(spark, d):
-    df = revisions(spark, d, ["after_content"])
-    return df.select("pair_id", valid_frontmatter(F.col("after_content")).alias("valid"))
+    return revisions(spark, d, [], {"valid": valid_frontmatter(F.col("after_content"))})
 
 
 def headings_and_fences(spark, d):
-    df = revisions(spark, d, ["after_content"]).where("after_content is not null")
     b = body(F.col("after_content"))
-    return df.select("pair_id", F.array_join(headings(b), "|").alias("headings"), code_blocks(b).alias("code_blocks"))
+    return revisions(spark, d, [], {"headings": F.array_join(headings(b), "|"), "code_blocks": code_blocks(b)}).where("code_blocks is not null")
 
 
 def _summaries(spark, d):
-    df = revisions(spark, d, ["before_content", "after_content"])
-    parsed = df.withColumn("b", parse_skill(F.col("before_content"))).withColumn("a", parse_skill(F.col("after_content")))
-    return parsed.select("pair_id", diff_summary(F.col("before_content"), F.col("after_content"), F.col("b"), F.col("a")).alias("s"))
+    b, a = F.col("before_content"), F.col("after_content")
+    return revisions(spark, d, [], {"s": diff_summary(b, a, parse_skill(b), parse_skill(a))})
 
 
 def diff_summaries(spark, d):
@@ -216,13 +211,12 @@ def edit_kind_counts(spark, d):
 
 
 def placeholder_pii(spark, d):
-    df = revisions(spark, d, ["after_content"])
-    return df.select("pair_id", any_of(F.col("after_content"), PLACEHOLDERS).alias("placeholder"), pii_email(F.col("after_content")).alias("pii"))
+    a = F.col("after_content")
+    return revisions(spark, d, [], {"placeholder": any_of(a, PLACEHOLDERS), "pii": pii_email(a)})
 
 
 def injection_tag(spark, d):
-    df = revisions(spark, d, ["after_content"])
-    return df.select("pair_id", any_of(F.col("after_content"), INJECTIONS).alias("injection"))
+    return revisions(spark, d, [], {"injection": any_of(F.col("after_content"), INJECTIONS)})
 
 
 def all_tags(spark, d):
@@ -276,7 +270,7 @@ def first_per_skill(spark, d):
 
 def incremental_dedup(spark, d):
     """A platform's texts against those already held."""
-    df = revisions(spark, d, ["platform", "after_content", "commit_date"]).select("pair_id", "platform", "ts", content_hash(text_of("after_content")).alias("h"))
+    df = revisions(spark, d, ["platform", "commit_date"], {"h": content_hash(text_of("after_content"))}).select("pair_id", "platform", "ts", "h")
     held, new = df.where("platform in ('claude_skill', 'opencode_skill')"), df.where("platform not in ('claude_skill', 'opencode_skill')")
     from palimpsest.operators.chain import new_content
 
@@ -309,7 +303,7 @@ SQL = {
     "corpus_stats": f"WITH {REV} SELECT count(*) AS records, count(DISTINCT repo) AS repos, count(DISTINCT skill_id) AS skills, count(DISTINCT after_content) AS texts, round(100.0 * (1 - count(DISTINCT after_content)::double / greatest(count(after_content), 1)), 4) AS repeated_percent FROM rev",
     "lines_histogram": f"WITH {REV} SELECT {_hist('coalesce(lines_added, 0)', [(0, '0'), (5, '1-5'), (20, '6-20'), (100, '21-100')], '101+')} AS bucket, count(*) AS n FROM rev GROUP BY 1",
     "chain_length_histogram": f"WITH {REV} SELECT {_hist('c', [(1, '1'), (3, '2-3'), (5, '4-5'), (10, '6-10')], '11+')} AS bucket, count(*) AS n FROM (SELECT count(*) AS c FROM rev GROUP BY skill_id) GROUP BY 1",
-    "before_after_pairs": f"WITH {REV} SELECT pair_id, previous, previous IS NULL AS is_first FROM (SELECT pair_id, last_value(sha256(after_content) IGNORE NULLS) OVER (PARTITION BY repo, skill_path ORDER BY ts NULLS FIRST, pair_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS previous FROM rev)",
+    "before_after_pairs": f"WITH {REV} SELECT pair_id, sha256(previous) AS previous, previous IS NULL AS is_first, CAST(coalesce(length(after_content), 0) - coalesce(length(previous), 0) AS INT) AS char_delta FROM (SELECT pair_id, after_content, last_value(after_content IGNORE NULLS) OVER (PARTITION BY repo, skill_path ORDER BY ts NULLS FIRST, pair_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS previous FROM rev)",
     "pre_revert": WITH + "SELECT pair_id FROM tagged WHERE pre_revert",
     "duplicate_after": WITH + "SELECT pair_id, fam AS family FROM tagged WHERE duplicate_after",
     "duplicate_pair": WITH + "SELECT pair_id, fam AS family FROM tagged WHERE duplicate_pair",
@@ -325,6 +319,9 @@ SQL = {
     "curator_strict": EVERY + f", {_CURATED} SELECT pair_id, repo, intent_text FROM curated WHERE {_has((*NOT_CURATED, *NOT_STRICT))}",
     "eval_candidates": f"WITH {REV}, {KIND} SELECT pair_id, k AS intent_class FROM kind WHERE {_EVAL}",
     "stratified_sample": f"WITH {REV}, {KIND} SELECT pair_id, intent_class FROM (SELECT pair_id, k AS intent_class, row_number() OVER (PARTITION BY k ORDER BY sha1(pair_id || ':42')) AS n FROM kind WHERE {_EVAL}) WHERE n <= 20",
+    "chat_format": f"""WITH {REV}, {KIND}, ev AS (SELECT *, 'Intent: ' || {_INTENT} || chr(10) || chr(10) || before_content AS ask FROM kind WHERE {_EVAL})
+  SELECT pair_id, sha256(CAST(to_json([{{'role': 'system', 'content': 'Apply the intent to the skill.'}}, {{'role': 'user', 'content': ask}}, {{'role': 'assistant', 'content': after_content}}]) AS VARCHAR)) AS digest,
+  3 AS turns, CAST(length(ask) AS INT) AS asked FROM ev""",
     "first_per_skill": f"WITH {REV} SELECT skill_id, pair_id FROM (SELECT skill_id, pair_id, row_number() OVER (PARTITION BY skill_id ORDER BY ts NULLS FIRST, pair_id) AS n FROM rev) WHERE n = 1",
     "incremental_dedup": f"WITH {REV}, t AS (SELECT pair_id, platform, ts, sha256(coalesce(after_content, '')) AS h, platform IN ('claude_skill', 'opencode_skill') AS held FROM rev WHERE platform IS NOT NULL) SELECT pair_id, platform FROM (SELECT *, row_number() OVER (PARTITION BY h ORDER BY ts NULLS FIRST, pair_id) AS n FROM t WHERE NOT held AND h NOT IN (SELECT h FROM t WHERE held)) WHERE n = 1",
 }

@@ -7,7 +7,7 @@ from palimpsest.functions import metrics
 from palimpsest.functions.intent import intent
 from palimpsest.functions.lint import RULES, lint
 from palimpsest.functions.structure import diff_summary, parse_skill
-from palimpsest.functions.tags import base_tags, bot_email, content_tags, pii_email, quality_score, repo_tags
+from palimpsest.functions.tags import base_tags, bot_email, content_tags, pii_email, quality_score, repo_tags, size_facts
 from palimpsest.functions.text import basename, body, cursor_rule, outer_fence_removed, parent_name, repo_slug, stable_id, strip, valid_frontmatter
 
 
@@ -53,6 +53,7 @@ def tags(spark, after="x" * 600, before=None, initial=False, added=9, removed=9,
         F.lit(after).cast("string").alias("after_content"), F.lit(before).cast("string").alias("before_content"), F.lit(initial).alias("is_initial"), F.lit(added).alias("lines_added"),
         F.lit(removed).alias("lines_removed"), F.lit(delta).alias("char_delta"), F.lit(subject).cast("string").alias("commit_subject"), F.lit(mail).cast("string").alias("commit_email"),
     )
+    df = df.withColumns(size_facts())
     return set(df.select(base_tags(F.lit(kind), F.lit(False), F.lit(None).cast("boolean"), F.lit(False)).alias("t")).first()["t"])
 
 
@@ -93,7 +94,7 @@ def test_repo_tags(spark):
 
 @pytest.mark.parametrize("stars, size, want", [(9, 499, 0.30), (10, 500, 0.50), (99, 30_000, 0.50), (100, 30_001, 0.50)])
 def test_score(spark, stars, size, want):
-    args = [F.array().cast("array<string>"), F.lit(None).cast("string"), F.lit(stars), F.lit(""), F.lit("test"), F.lit("x" * size)]
+    args = [F.array().cast("array<string>"), F.lit(None).cast("string"), F.lit(stars), F.lit(""), F.lit("test"), F.lit(size)]
     assert spark.range(1).select(quality_score(*args).alias("s")).first()["s"] == pytest.approx(want, abs=1e-6)
 
 
