@@ -254,7 +254,7 @@ _OVER = "(coalesce(repo, '') <> '' AND a > n) OR (email IS NOT NULL AND b > n)"
 
 
 #: Frontmatter dropped, lower case, split at blanks; and the distinct runs of five words.
-_WORDS = r"list_filter(regexp_split_to_array(lower(regexp_replace({}, '(?s)\A---[ \t]*\r?\n(?:.*?\r?\n)??---[ \t]*(?:\r?\n|\z)', '')), '\s+'), lambda x: x <> '')"
+_WORDS = r"list_filter(regexp_split_to_array(lower(regexp_replace({}, '(?s)\A---[ \t]*\r?\n(?:.*?\r?\n)??---[ \t]*(?:\r?\n|\z)', '')), '[\s\v\pZ\x85\x1c-\x1f]+'), lambda x: x <> '')"
 _RUNS = "list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))"
 _P3 = """WITH RECURSIVE d AS (SELECT pair_id, max(repo) AS repo, max(skill_id) AS skill_id, max(skill_cluster_id) AS cluster
   FROM curator_training WHERE pair_id IS NOT NULL GROUP BY pair_id),
