@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from palimpsest.functions.text import body, frontmatter, has_frontmatter, strip, text_of
 
 FINDING = "struct<rule:string,severity:string,message:string,line:int,fix_hint:string>"
+# How a name and a description are read, and the rules' ids below.
 NAME_VALUE = r"(?m)^name\s*:\s*(.+?)\s*$"
 DESCRIPTION_VALUE = r"(?m)^description\s*:\s*(\S(?:.*\S)?)\s*$"
 # Phrases that say when to use a skill; references that have aged, with rule names.
@@ -117,3 +119,29 @@ def lint(c: Column, rules: list[Rule] | None = None) -> Column:
     """All findings of a text; null counts as empty."""
     c = text_of(c)
     return F.concat(*[r(c) for r in (rules or RULES)])
+
+
+def custom_rule(name: str, check: Callable[[str], list[tuple[str, str, str, int | None, str | None]]]) -> Rule:
+    """A rule written in Python: check(text) gives (rule, severity, message, line, fix_hint) tuples. A text it fails on has no
+    findings of this rule, and keeps those of all others."""
+
+    @F.pandas_udf(f"array<{FINDING}>")
+    def run(texts: pd.Series) -> pd.Series:
+        out = []
+        for t in texts:
+            try:
+                out.append([dict(zip(("rule", "severity", "message", "line", "fix_hint"), f, strict=True)) for f in check(t or "")])
+            except Exception:
+                out.append([])
+        return pd.Series(out, dtype=object)
+
+    run.__name__ = name
+    return lambda c: run(c)
+
+
+def lint_files(files: DataFrame) -> DataFrame:
+    """files (path, content as bytes, null where a file could not be read) -> (path, findings): bytes that are no UTF-8 are read with
+    replacements; a file that could not be read has one finding that says so."""
+    unread = F.array(finding("E000-read-error", "error", "The file could not be read"))
+    text = F.make_valid_utf8(F.col("content").cast("string"))
+    return files.select("path", F.when(F.col("content").isNull(), unread).otherwise(lint(F.coalesce(text, F.lit("")))).alias("findings"))

@@ -56,8 +56,7 @@ def first_claim_platform(spark, d):
 
 def _matched(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "source")
-    docs.createOrReplaceTempView("palimpsest_docs")
-    prs = spark.sql(_PRS.format(docs="palimpsest_docs"))
+    prs = spark.sql(_PRS, docs=docs)
     by_sha = dims.pull_requests(prs, "repo", "pr_number", "merge_sha", "head_sha", ["pr_title"])
     rows = docs.select("doc_id", F.col("source").alias("repo"), F.sha1(F.concat_ws(":", "source", F.col("doc_id").cast("string"))).alias("sha"))
     return rows.join(by_sha, ["repo", "sha"], "left")
@@ -100,12 +99,15 @@ def bundled_counts(spark, d):
 
 
 def bundled_prefix_join(spark, d):
-    b = _bundles(spark, d).where("skill_dir is not null and repo is not null")
+    """Files of bundles with the first skill of their repository, by path, whose directory holds them. A skill's own file is not
+    among its files, but may be among those of a skill around it; so skill files take part here."""
+    b = _bundles(spark, d).where("skill_dir is not null and skill_path is not null and repo is not null")
     path = F.concat(F.when(F.col("skill_dir") != "", F.concat("skill_dir", F.lit("/"))).otherwise(""), "p")
-    files = b.select("repo", F.explode(F.transform("bundled_files", lambda x: x["path"])).alias("p"), "skill_dir").select("repo", path.alias("path")).distinct()
-    dirs = b.select("repo", "skill_dir").distinct().withColumn("held_by", F.col("skill_dir"))
-    out = dims.below_directory(files, "path", dirs.select("repo", "skill_dir", "held_by"), "skill_dir", ["repo"])
-    return out.select("repo", "path", "held_by")
+    files = b.select("repo", F.explode(F.transform("bundled_files", lambda x: x["path"])).alias("p"), "skill_dir").select("repo", path.alias("path"))
+    files = files.union(b.select("repo", "skill_path")).distinct()
+    dirs = b.select("repo", "skill_dir", "skill_path").distinct()
+    out = dims.below_directory(files, "path", dirs, "skill_dir", ["repo"], own="skill_path", order="skill_path")
+    return out.select("repo", "path", F.col("skill_path").alias("held_by"))
 
 
 def skill_names(spark, d):
@@ -145,7 +147,7 @@ def license_status(spark, d):
 
 def provenance_lists(spark, d):
     df = table(spark, d, "documents").where("source is not null and skill_path is not null")
-    return df.groupBy("source").agg(F.array_join(F.slice(F.array_sort(F.collect_set("platform")), 1, 5), ",").alias("platforms"), F.countDistinct("skill_path").alias("paths"))
+    return df.groupBy("source").agg(F.array_join(F.array_sort(F.collect_set("platform")), ",").alias("platforms"), F.countDistinct("skill_path").alias("paths"))
 
 
 def json_props(spark, d):
@@ -167,7 +169,7 @@ QUERIES = {
     )
 }
 
-_BUNDLES = "b AS (SELECT skill_id, any_value(repo) AS repo, any_value(skill_dir) AS skill_dir, any_value(bundled_files) AS bundled_files FROM bundled WHERE skill_id IS NOT NULL GROUP BY skill_id)"
+_BUNDLES = "b AS (SELECT skill_id, any_value(repo) AS repo, any_value(skill_dir) AS skill_dir, any_value(skill_path) AS skill_path, any_value(bundled_files) AS bundled_files FROM bundled WHERE skill_id IS NOT NULL GROUP BY skill_id)"
 _PR_SQL = f"""WITH prs AS ({_PRS.format(docs='documents')}), keys AS (SELECT repo, pr_number, pr_title, 0 AS k, merge_sha AS sha, 'merge_commit_sha' AS pr_match_kind FROM prs
   UNION ALL SELECT repo, pr_number, pr_title, 1, head_sha, 'head_sha' FROM prs),
 best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY repo, sha ORDER BY pr_number, k) AS n FROM keys WHERE sha IS NOT NULL) WHERE n = 1),
@@ -184,14 +186,14 @@ SQL = {
     "repo_metadata_join": f"WITH {REV}, {REPOS.replace('SELECT repo, license_spdx, stars, pushed_at, true', 'SELECT repo, license_spdx, fetch_status, true')} SELECT CASE WHEN known IS NULL THEN 'not_attempted' ELSE rp.fetch_status END AS status, rp.license_spdx IS NOT NULL AS licensed, count(*) AS n FROM rev LEFT JOIN rp USING (repo) GROUP BY 1, 2",
     "conditional_relabel": f"WITH {REV}, {KIND} SELECT intent_class, confidence, count(*) AS n FROM (SELECT CASE WHEN k = 'unknown' AND s <> '' THEN 'other' ELSE k END AS intent_class, CAST(CASE WHEN k = 'unknown' AND s <> '' THEN 0.85 ELSE conf END AS DOUBLE) AS confidence FROM kind) GROUP BY 1, 2",
     "bundled_counts": f"WITH {_BUNDLES} SELECT skill_id, CAST(coalesce(len(bundled_files), 0) AS INT) AS files, CAST(coalesce(len(list_filter(bundled_files, lambda f: f.content IS NOT NULL)), 0) AS INT) AS texts, CAST(coalesce(list_sum(list_transform(bundled_files, lambda f: f.size)), 0) AS BIGINT) AS bytes FROM b",
-    "bundled_prefix_join": f"WITH {_BUNDLES}, f AS (SELECT DISTINCT repo, CASE WHEN skill_dir <> '' THEN skill_dir || '/' ELSE '' END || p AS path FROM (SELECT repo, skill_dir, unnest(list_transform(bundled_files, lambda f: f.path)) AS p FROM b WHERE skill_dir IS NOT NULL AND repo IS NOT NULL)) SELECT f.repo, f.path, min(g.skill_dir) AS held_by FROM f JOIN (SELECT DISTINCT repo, skill_dir FROM b WHERE skill_dir IS NOT NULL) g ON g.repo = f.repo AND ((g.skill_dir <> '' AND starts_with(f.path, g.skill_dir || '/')) OR (g.skill_dir = '' AND NOT contains(f.path, '/'))) GROUP BY 1, 2",
-    "skill_names": r"SELECT DISTINCT skill_path, coalesce(string_split(skill_path, '/')[len(string_split(skill_path, '/')) - 1], '') AS directory, string_split(skill_path, '/')[-1] AS base, lower(string_split(skill_path, '/')[-1]) = '.cursorrules' OR regexp_matches(lower(string_split(skill_path, '/')[-1]), '^\.cursorrules.*\.(md|txt|mdc)$') OR (list_contains(string_split(lower(skill_path), '/'), '.cursor') AND list_contains(string_split(lower(skill_path), '/'), 'rules') AND regexp_matches(lower(skill_path), '\.(mdc|md)$')) AS rule, lower(string_split(skill_path, '/')[-1]) = 'skill.md' AS skill FROM bundled WHERE skill_path IS NOT NULL",
+    "bundled_prefix_join": f"WITH {_BUNDLES}, k AS (SELECT * FROM b WHERE skill_dir IS NOT NULL AND skill_path IS NOT NULL AND repo IS NOT NULL), f AS (SELECT repo, CASE WHEN skill_dir <> '' THEN skill_dir || '/' ELSE '' END || p AS path FROM (SELECT repo, skill_dir, unnest(list_transform(bundled_files, lambda f: f.path)) AS p FROM k) UNION SELECT repo, skill_path FROM k) SELECT f.repo, f.path, min(g.skill_path) AS held_by FROM f JOIN (SELECT DISTINCT repo, skill_dir, skill_path FROM k) g ON g.repo = f.repo AND g.skill_path <> f.path AND ((g.skill_dir <> '' AND starts_with(f.path, g.skill_dir || '/')) OR (g.skill_dir = '' AND NOT contains(f.path, '/'))) GROUP BY 1, 2",
+    "skill_names": r"SELECT DISTINCT skill_path, coalesce(string_split(skill_path, '/')[len(string_split(skill_path, '/')) - 1], '') AS directory, string_split(skill_path, '/')[-1] AS base, lower(string_split(skill_path, '/')[-1]) = '.cursorrules' OR regexp_matches(lower(string_split(skill_path, '/')[-1]), '^\.cursorrules.*\.(md|txt|mdx)$') OR (list_contains(string_split(lower(skill_path), '/'), '.cursor') AND list_contains(string_split(lower(skill_path), '/'), 'rules') AND regexp_matches(lower(skill_path), '\.(mdc|md)$')) AS rule, lower(string_split(skill_path, '/')[-1]) = 'skill.md' AS skill FROM bundled WHERE skill_path IS NOT NULL",
     "aligned_union": "SELECT CAST(c_custkey AS BIGINT) AS key, c_name AS name, round(c_acctbal, 2) AS balance FROM customer UNION ALL SELECT s_suppkey, s_name, NULL FROM supplier",
     "left_wins": "SELECT s_suppkey AS key, s_name AS name FROM supplier UNION ALL SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT s_suppkey FROM supplier)",
     "distinct_sources": "SELECT DISTINCT source FROM documents WHERE source IS NOT NULL ORDER BY source",
     "top_licenses": f"WITH {REPOS} SELECT license_spdx, count(*) AS n FROM rp WHERE coalesce(license_spdx, '') <> '' GROUP BY 1 ORDER BY n DESC, license_spdx LIMIT 10",
     "license_status": "SELECT count(*) AS rows, count(*) FILTER (fetch_status = 'ok') AS ok, count(*) FILTER (fetch_status = 'not_found') AS not_found, count(*) FILTER (fetch_status = 'error') AS error, count(*) FILTER (coalesce(license_spdx, '') <> '') AS licensed FROM repos",
-    "provenance_lists": "SELECT source, array_to_string(list_sort(list(DISTINCT platform) FILTER (platform IS NOT NULL))[1:5], ',') AS platforms, count(DISTINCT skill_path) AS paths FROM documents WHERE source IS NOT NULL AND skill_path IS NOT NULL GROUP BY source",
+    "provenance_lists": "SELECT source, array_to_string(list_sort(list(DISTINCT platform) FILTER (platform IS NOT NULL)), ',') AS platforms, count(DISTINCT skill_path) AS paths FROM documents WHERE source IS NOT NULL AND skill_path IS NOT NULL GROUP BY source",
     "json_props": "SELECT event_type, count(*) AS n, count(try_cast(props::json->>'k' AS DOUBLE)) AS with_k, round(avg(try_cast(props::json->>'k' AS DOUBLE)), 4) AS mean_k FROM events GROUP BY event_type",
     "event_windows": "SELECT time_bucket(INTERVAL '1 hour', ts::timestamp) AS start, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1, 2",
 }

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from palimpsest.queries import join_queries, revision_queries, text_queries
+from palimpsest.queries import intake_queries, join_queries, revision_queries, text_queries
 
-_MODULES = [revision_queries, join_queries, text_queries]
+_MODULES = [revision_queries, join_queries, text_queries, intake_queries]
 
 
 def queries() -> dict:
