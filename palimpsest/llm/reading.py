@@ -208,7 +208,7 @@ def fit(bags: DataFrame, rounds: int = ROUNDS, slots: int | None = None) -> tupl
 def bags_of(docs: DataFrame, labels: DataFrame, key: str) -> DataFrame:
     """docs (key, text), labels (key, band) -> (id, band, words)."""
     known = labels.where(F.col("band").isin(*BANDS)).groupBy(key).agg(F.min("band").alias("band"))
-    rows = docs.join(known, key, "left").select(F.col(key).alias("id"), "band", "text")
+    rows = docs.select(key, "text").join(known, key, "left").select(F.col(key).alias("id"), "band", "text")
     return materialize(rows.mapInArrow(_bags, f"id {dict(docs.dtypes)[key]}, band string, words array<int>"))
 
 
