@@ -71,3 +71,10 @@ def summary(scores: DataFrame) -> DataFrame:
         F.grouping("intent_class").alias("all"), F.count("*").alias("n"), F.count_if(F.col("error").isNull()).alias("n_ok"), *[mean(F.col(c)).alias(c) for c in names]
     )
     return out.select("model", F.when(F.col("all") == 1, "all").otherwise(F.coalesce("intent_class", F.lit("unknown"))).alias("intent_class"), "n", "n_ok", *names)
+
+
+def with_examples(results: DataFrame, examples: DataFrame, columns: list[str]) -> DataFrame:
+    """Results (pair_id, ...) with columns of the examples they belong to, by pair_id: order does not count, an example that is
+    missing gives nulls, one that is delivered twice counts once."""
+    one = examples.where("pair_id is not null").select("pair_id", *columns).dropDuplicates(["pair_id"])
+    return results.join(one, "pair_id", "left")

@@ -69,6 +69,17 @@ def vector_topk(spark, d):
     return _near(spark, d, 10).select("query", "vec_id", F.round("similarity", 4).alias("similarity"), "rank")
 
 
+def vector_index(spark, d):
+    """Whether an index of cells finds nine in ten of the ten nearest vectors of every hundredth one, for how many of these."""
+    v = table(spark, d, "embeddings").select("vec_id", "embedding")
+    q = v.where("vec_id % 100 = 0")
+    c = vectors.centres(v, "vec_id", "embedding")
+    found = vectors.indexed_neighbours(v, q, "vec_id", "embedding", 10, c, probes=max(1, round(0.6 * len(c))))
+    exact = vectors.neighbours(v, q, "vec_id", "embedding", 10).select("query", "vec_id")
+    both = exact.join(found.select("query", "vec_id", F.lit(1).alias("hit")), ["query", "vec_id"], "left")
+    return both.agg(F.countDistinct("query").alias("queries"), (F.count("hit") >= 0.9 * F.count("*")).alias("recalled"))
+
+
 def vector_clusters(spark, d):
     v = table(spark, d, "embeddings").select("vec_id", "embedding")
     pairs = vectors.neighbours(v, v, "vec_id", "embedding", 10, 0.4)
@@ -145,7 +156,7 @@ def fence_strip(spark, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        lint_findings, lint_report, shingle_counts, near_dup_clusters, cluster_stats, cluster_join, vector_topk, vector_clusters, metric_exact, metric_edit, metric_rouge, metric_lint_delta, eval_summary, eval_baselines, eval_rouge,
+        lint_findings, lint_report, shingle_counts, near_dup_clusters, cluster_stats, cluster_join, vector_topk, vector_index, vector_clusters, metric_exact, metric_edit, metric_rouge, metric_lint_delta, eval_summary, eval_baselines, eval_rouge,
         prompt_render, fence_strip,
     )
 }
@@ -224,6 +235,7 @@ SQL = {
 
     "shingle_counts": f"WITH {_SETS} SELECT doc_id, CAST(len(runs) AS INT) AS shingles FROM s WHERE text IS NOT NULL",
     "vector_topk": _TOPK,
+    "vector_index": "SELECT count(DISTINCT vec_id) AS queries, true AS recalled FROM embeddings WHERE vec_id % 100 = 0 AND embedding IS NOT NULL",
     "metric_exact": f"{_KIND} SELECT pair_id, CASE WHEN {_strip('before_content')} = {_strip('after_content')} THEN 1.0::double ELSE 0.0::double END AS score FROM ev",
     "eval_summary": f"{_KIND}, m AS (SELECT k, CASE WHEN {_strip('before_content')} = {_strip('after_content')} THEN 1.0::double ELSE 0.0::double END AS x, length(before_content)::double / length(after_content) AS r FROM ev) SELECT coalesce(k, 'all') AS intent_class, count(*) AS n, round(avg(x), 4) AS exact, round(avg(r), 4) AS ratio FROM m GROUP BY GROUPING SETS ((k), ())",
     "prompt_render": f"{_KIND} SELECT pair_id, sha256('Skill:' || chr(10) || before_content || chr(10) || chr(10) || 'Intent: ' || said2 || chr(10) || chr(10) || 'Give the revised skill in full.') AS digest FROM ev",

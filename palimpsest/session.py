@@ -49,10 +49,14 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+_held: set[str] = set()
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write df once as a table in the shared folder and read it back: lineage ends there, and a lost executor costs nothing.
 
-    The folder is removed when the driver's JVM ends, or by release().
+    The folder is removed by release(), by release_all(), or when the driver's JVM ends. Operators release what their result does not
+    read; what it reads lazily is for its caller to release.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/palimpsest-{uuid.uuid4().hex}"
@@ -62,6 +66,7 @@ def materialize(df: DataFrame) -> DataFrame:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
     out = spark.read.schema(df.schema).parquet(path)
     out._palimpsest_path = path
+    _held.add(path)
     return out
 
 
@@ -69,6 +74,16 @@ def release(df: DataFrame) -> None:
     """Remove a materialised table that nothing will read any more."""
     path = getattr(df, "_palimpsest_path", None)
     if path:
-        spark = df.sparkSession
-        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        _remove(df.sparkSession, path)
+
+
+def release_all(spark: SparkSession) -> None:
+    """Remove all tables that are materialised still: for the caller of an operator, once its result is written."""
+    for path in list(_held):
+        _remove(spark, path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    _held.discard(path)

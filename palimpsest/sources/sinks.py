@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Iterator, Mapping
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -99,3 +100,25 @@ def route(df: DataFrame, sinks: Mapping[str, Column | None], base: str) -> None:
 def append_journal(df: DataFrame, path: str) -> None:
     """Append rows to a journal of JSON lines."""
     df.write.mode("append").json(path)
+
+
+def upload(spark: SparkSession, folder: str, put: Callable[[str, str], None], dry_run: bool = True) -> DataFrame:
+    """(path, bytes, status) of all files below a folder, each handed to put(name below the folder, path) by a task; with dry_run
+    nothing is handed over and the table says what would be. One that fails has its message for a status."""
+    base = folder.rstrip("/") + "/"
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path", F.col("length").alias("bytes"))
+    if dry_run:
+        return files.withColumn("status", F.lit("dry run"))
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            said = []
+            for path in b["path"]:
+                try:
+                    put(path.split(base, 1)[-1], path)
+                    said.append("ok")
+                except Exception as e:
+                    said.append(str(e)[:500] or "failed")
+            yield b.assign(status=said)
+
+    return files.mapInPandas(work, "path string, bytes bigint, status string")

@@ -127,6 +127,62 @@ def test_neighbours_against_brute_force(spark):
         assert list(got[got["query"] == q].sort_values("rank")["id"]) == list(want)
 
 
+def test_an_index_of_cells(spark):
+    import numpy as np
+
+    r = np.random.default_rng(2)
+    base = r.normal(size=(12, 16))
+    m = (base[np.arange(900) % 12] + 0.3 * r.normal(size=(900, 16))).astype("float32")
+    m /= np.linalg.norm(m, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)] + [(9000, None), (9001, [1.0])], "id bigint, v array<float>")
+    q = df.where("id % 60 = 0")
+    c = vectors.centres(df.where("id < 900"), "id", "v")
+    assert c.shape == (30, 16)
+    every = {(x["query"], x["id"]) for x in vectors.neighbours(df, q.where("id < 900"), "id", "v", 5).collect()}
+    part = {(x["query"], x["id"]) for x in vectors.indexed_neighbours(df, q, "id", "v", 5, c, 8).collect()}
+    whole = {(x["query"], x["id"]) for x in vectors.indexed_neighbours(df, q, "id", "v", 5, c, 30).collect()}
+    assert whole == every and len(part & every) >= 0.9 * len(every) and len(part) == len(every)
+
+
+def test_encoders_give_unit_vectors(spark):
+    df = spark.createDataFrame([("a", "x" * 3000), ("b", None)], "k string, t string")
+    got = {x["k"]: x["embedding"] for x in vectors.encode(df, "k", "t", lambda texts: [[float(len(t)), 1.0] for t in texts]).collect()}
+    assert got["a"][0] == pytest.approx(2000 / (2000**2 + 1) ** 0.5) and got["b"] == [0.0, 1.0]
+
+
+def test_uploads(spark, tmp_path):
+    (tmp_path / "f" / "x").mkdir(parents=True)
+    (tmp_path / "f" / "x" / "a.txt").write_text("abc")
+    (tmp_path / "f" / "b.txt").write_text("no")
+
+    def put(name, path):
+        if name == "b.txt":
+            raise OSError("refused")
+
+    folder = str(tmp_path / "f")
+    assert sinks.upload(spark, folder, put).agg(F.sum("bytes")).first()[0] == 5
+    assert {(x["path"].rsplit("/", 1)[-1], x["status"]) for x in sinks.upload(spark, folder, put, dry_run=False).collect()} == {("a.txt", "ok"), ("b.txt", "refused")}
+
+
+def test_shared_folder_and_release(spark, monkeypatch):
+    from palimpsest import session
+
+    t = session.materialize(spark.range(3))
+    assert t.count() == 3 and t._palimpsest_path in session._held
+    session.release_all(spark)
+    assert not session._held
+
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda key, default=None: None)
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+    with pytest.raises(RuntimeError, match="checkpoint.dir"):
+        session.shared_dir(Cluster())
+
+
 def test_ordered_jsonl(spark, tmp_path):
     (tmp_path / "a.jsonl").write_text('{"k": "1", "v": 1}\n\nnot json\n{"v": 2}\n{"k": "2"}')
     rows = files.ordered_jsonl(spark, str(tmp_path), "k string, v int", "k").collect()
@@ -311,6 +367,8 @@ def test_evaluation(spark):
     assert (got["all"]["n"], got["all"]["n_ok"], got["all"]["exact"]) == (3, 2, 0.5) and got["unknown"]["n_ok"] == 0
     with pytest.raises(ValueError):
         evaluation.resolve("nobody:x")
+    joined = evaluation.with_examples(p.select("pair_id"), edits.union(edits).withColumn("repo", F.lit("r")), ["repo"])
+    assert joined.count() == 3 and {x["repo"] for x in joined.collect()} == {"r"}
 
 
 def test_streams(spark, data, tmp_path):
