@@ -26,6 +26,8 @@ OUTDATED = (
     (r"\bopenai\.Completion\.create\b", "I007-legacy-api"),
     (r"\bopenai\.ChatCompletion\.create\b", "I008-legacy-api"),
 )
+#: What a line of each has, in lower case; looked for before the pattern.
+OUTDATED_WORDS = ("deepseek", "gpt-3.5-turbo", "claude-2", "claude-instant", "text-davinci-00", "code-davinci-002", "openai.completion.create", "openai.chatcompletion.create")
 Rule = Callable[[Column], Column]
 
 
@@ -84,7 +86,8 @@ def fence_rule(c: Column) -> Column:
     lines = F.transform(F.split(c, "\n"), lambda x, i: F.struct((i + 1).cast("int").alias("n"), strip(x).alias("t")))
     fences = F.filter(lines, lambda x: x["t"].startswith("```"))
     bare = F.filter(fences, lambda x, i: (i % 2 == 0) & (strip(F.substr(x["t"], F.lit(4))) == ""))
-    return F.transform(bare, lambda x: finding("W004-codeblock-no-lang", "warning", "A code fence without a language", x["n"], "Name the language after the fence"))
+    none = F.array().cast(f"array<{FINDING}>")
+    return F.when(~c.contains("```"), none).otherwise(F.transform(bare, lambda x: finding("W004-codeblock-no-lang", "warning", "A code fence without a language", x["n"], "Name the language after the fence")))
 
 
 def _matches(pattern: str) -> Callable[[Column], Column]:
@@ -95,10 +98,10 @@ def outdated_rules(c: Column) -> Column:
     """The first line of each reference that has aged."""
     lines = F.split(c, "\n")
     out = []
-    for pattern, rule in OUTDATED:
+    for (pattern, rule), word in zip(OUTDATED, OUTDATED_WORDS, strict=True):
         line = F.array_position(F.transform(lines, _matches(pattern)), True)
         # the array is gone through only for texts that match at all
-        out.append(only_if(c.rlike("(?i)" + pattern), finding(rule, "info", "A reference that may have aged", line, "Check the current name")))
+        out.append(only_if(F.lower(c).contains(word) & c.rlike("(?i)" + pattern), finding(rule, "info", "A reference that may have aged", line, "Check the current name")))
     return F.concat(*out)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import zip_longest
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,11 +29,16 @@ MAIL = r"\b[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}\b"
 NOBODY = ("example.com", "example.org", "example.net", "users.noreply.github.com", "noreply.github.com", "domain.com", "yourdomain.com", "test.com", "local")
 
 
-def any_of(c: Column, patterns: tuple[str, ...]) -> Column:
-    """Whether a text matches one of the patterns; false for null."""
-    out = F.lit(False)
-    for p in patterns:
-        out = out | c.rlike(p)
+#: What every match of a pattern has, in lower case: looked for first, as finding a word is far cheaper than a pattern.
+PLACEHOLDER_WORDS = ("<your", "<your", "todo:", "lorem", "placeholder", "hello", "foo")
+INJECTION_WORDS = ("previous", "disregard", "you are now ", "developer mode", "jailbroke", "dan", "override ")
+
+
+def any_of(c: Column, patterns: tuple[str, ...], words: tuple[str, ...] = ()) -> Column:
+    """Whether a text matches one of the patterns; false for null. words: for every pattern, what a text it matches must have."""
+    out, low = F.lit(False), F.lower(c)
+    for p, w in zip_longest(patterns, words):
+        out = out | (c.rlike(p) if w is None else low.contains(w) & c.rlike(p))
     return F.coalesce(out, F.lit(False))
 
 
@@ -43,7 +50,7 @@ def pii_email(c: Column) -> Column:
     """Whether a text holds a mail address whose domain is neither documentation nor no-reply."""
     domain = lambda m: F.lower(F.substring_index(m, "@", -1))
     personal = lambda m: ~(domain(m).isin(*NOBODY) | domain(m).rlike(r"\.(example|local|test)$") | domain(m).contains("noreply"))
-    return F.coalesce(F.exists(F.regexp_extract_all(c, F.lit(MAIL), 0), personal), F.lit(False))
+    return F.coalesce(c.contains("@") & F.exists(F.regexp_extract_all(c, F.lit(MAIL), 0), personal), F.lit(False))
 
 
 def tag(name: str, when: Column) -> Column:
@@ -87,9 +94,9 @@ def content_tags(after: Column) -> Column:
     """The tags that the text alone decides."""
     return tag_array(
         tag("invalid_frontmatter", ~valid_frontmatter(after)),
-        tag("placeholder_content", any_of(after, PLACEHOLDERS)),
+        tag("placeholder_content", any_of(after, PLACEHOLDERS, PLACEHOLDER_WORDS)),
         tag("pii_email", pii_email(after)),
-        tag("prompt_injection_pattern", any_of(after, INJECTIONS)),
+        tag("prompt_injection_pattern", any_of(after, INJECTIONS, INJECTION_WORDS)),
     )
 
 

@@ -12,7 +12,7 @@ from palimpsest.functions.tags import base_tags, content_tags, quality_score, re
 from palimpsest.functions.text import content_hash, pair_hash, text_of
 from palimpsest.operators.chain import before_revert, instant, seen_before
 from palimpsest.operators.records import fuller
-from palimpsest.session import materialize, table
+from palimpsest.session import materialize, spread, table
 
 CHAIN = ("repo", "skill_path")
 ORDER = ("ts", "pair_id")
@@ -23,7 +23,8 @@ AS_OF = "2024-06-01"
 def revisions(spark: SparkSession, d: str, columns: Sequence[str], facts: Mapping[str, Column] | None = None) -> DataFrame:
     """One row (pair_id, columns, facts) per pair_id, of the fuller delivery, with ts, the commit's instant, if commit_date is among
     the columns. facts are worked out where the texts are read, so that the texts need not move."""
-    rows = fuller(table(spark, d, "diffs"), "pair_id", columns, facts=facts)
+    rows = table(spark, d, "diffs")
+    rows = fuller(spread(rows) if facts else rows, "pair_id", columns, facts=facts)
     return rows.withColumn("ts", instant("commit_date")) if "commit_date" in columns else rows
 
 

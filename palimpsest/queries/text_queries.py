@@ -28,9 +28,8 @@ def lint_findings(spark, d):
 
 def lint_report(spark, d):
     """Per rule: findings, texts that have any and their share of all texts, the first line."""
-    all_texts = _findings(spark, d)
-    n = all_texts.count()
-    f = all_texts.select("pair_id", F.explode("found").alias("f"))
+    n = revisions(spark, d, [], {"there": F.col("after_content").isNotNull()}).where("there").count()
+    f = _findings(spark, d).select("pair_id", F.explode("found").alias("f"))
     per = f.groupBy("f.rule", "f.severity").agg(F.count("*").alias("findings"), F.countDistinct("pair_id").alias("texts"), F.min("f.line").alias("first_line"))
     return per.withColumn("percent", F.round(share(F.col("texts"), F.lit(n)), 4))
 
