@@ -160,10 +160,12 @@ def similar_pairs(
     reps = signed.groupBy("class").agg(F.min(key).alias("rep"))
     members = materialize(signed.join(reps, "class").select(key, "rep"))
     own = signed.join(members.where(F.col(key) == F.col("rep")).select(key), key, "left_semi")
-    own = materialize(own.select(F.col(key).alias("id"), "bands", "sig"))
-    slots = own.select("id", F.explode("bands").alias("bucket"))
-    left, right = slots.select("bucket", F.col("id").alias("a")), slots.select("bucket", F.col("id").alias("b"))
-    met = left.join(right, "bucket").where("a < b").select("a", "b").distinct()
+    own = materialize(own.select(F.col(key).alias("id"), "weight", "bands", "sig"))
+    slots = own.select("id", "weight", F.explode("bands").alias("bucket"))
+    left, right = (slots.select("bucket", F.col("id").alias(x), F.col("weight").alias(f"w{x}")) for x in "ab")
+    # the similarity of two bags is at most the quotient of their weights
+    sized = f"wa >= {threshold - 1e-9} * wb and wb >= {threshold - 1e-9} * wa"
+    met = left.join(right, "bucket").where(f"a < b and {sized}").select("a", "b").distinct()
     kind = dict(texts.dtypes)[key]
     if slack is not None:
         sig = own.select("id", "sig")

@@ -269,6 +269,15 @@ s AS (SELECT skill_id, {_RUNS} AS runs FROM (SELECT skill_id, {_WORDS.format("x"
 u AS (SELECT skill_id, unnest(runs) AS r FROM s),
 hit AS (SELECT a.skill_id AS i, b.skill_id AS j, count(*) AS n FROM u a JOIN u b ON a.r = b.r AND a.skill_id < b.skill_id GROUP BY 1, 2)
 SELECT i AS skill_id_a, j AS skill_id_b FROM hit JOIN s a ON a.skill_id = i JOIN s b ON b.skill_id = j WHERE n >= 0.7 * (len(a.runs) + len(b.runs) - n)"""
+_P4_GROUPS = f"""WITH RECURSIVE l AS (SELECT skill_id, after_content AS x FROM (SELECT *, row_number() OVER (PARTITION BY skill_id ORDER BY
+  try_cast(commit_date AS TIMESTAMPTZ) DESC NULLS LAST, pair_id DESC NULLS LAST, after_content IS NOT NULL DESC) AS n FROM diffs WHERE skill_id IS NOT NULL) WHERE n = 1),
+s AS (SELECT skill_id, list_sort(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS runs FROM (SELECT skill_id, {_WORDS.format("x")} AS w FROM l WHERE x IS NOT NULL) WHERE len(w) >= 5),
+cls AS (SELECT min(skill_id) AS n, runs FROM s GROUP BY runs), u AS (SELECT n, r, count(*) AS c FROM (SELECT n, unnest(runs) AS r FROM cls) GROUP BY 1, 2),
+hit AS (SELECT p.n AS a, q.n AS b, sum(least(p.c, q.c)) AS k FROM u p JOIN u q ON p.r = q.r AND p.n < q.n GROUP BY 1, 2),
+e AS (SELECT a, b FROM hit JOIN cls x ON x.n = a JOIN cls y ON y.n = b WHERE k >= 0.8 * (len(x.runs) + len(y.runs) - k)),
+g AS (SELECT a, b FROM e UNION SELECT b, a FROM e), r(x, y) AS (SELECT n, n FROM cls UNION SELECT r.x, g.b FROM r JOIN g ON r.y = g.a), comp AS (SELECT x, min(y) AS c FROM r GROUP BY x),
+links AS (SELECT a AS x, count(*) AS k FROM g GROUP BY a)
+SELECT skill_id, c AS group_id, coalesce(k, 0) AS links FROM s JOIN cls ON cls.runs = s.runs JOIN comp ON comp.x = cls.n LEFT JOIN links ON links.x = cls.n"""
 _P5 = f"""WITH e AS (SELECT DISTINCT pair_id, unnest([before_content, after_content]) AS x FROM curator_eval_set WHERE pair_id IS NOT NULL),
 t AS (SELECT DISTINCT pair_id, after_content AS x FROM curator_training WHERE pair_id IS NOT NULL),
 ex AS (SELECT row_number() OVER () AS id, x FROM (SELECT DISTINCT x FROM e WHERE x <> '')), tx AS (SELECT row_number() OVER () AS id, x FROM (SELECT DISTINCT x FROM t WHERE x <> '')),
@@ -295,6 +304,7 @@ def oracle_sql() -> dict[str, str]:
         "p3_found": _P3,
         "p3_balance": "SELECT unnest(['train', 'validation', 'test']) AS split, true AS within, true AS labels_within",
         "p4_found": _P4,
+        "p4_groups": _P4_GROUPS,
         "p5_found": _P5 + "SELECT least(key_e, key_t) AS pair_id_a, greatest(key_e, key_t) AS pair_id_b FROM pairs WHERE s >= 0.7 - 1e-9",
         "p5_report": _P5 + _P5_REPORT,
         "p7_found": _P7 + _OVER,
