@@ -219,6 +219,18 @@ delta AS (SELECT ev.*, (coalesce(na, 0) - coalesce(nb, 0))::double AS d_identity
 _BASELINES = f"""{_DELTA}, m AS (SELECT 'identity' AS model, k, CASE WHEN {_strip('before_content')} = {_strip('after_content')} THEN 1.0::double ELSE 0.0::double END AS exact_match, d_identity AS linter_delta FROM delta
   UNION ALL SELECT 'intent_only', k, CASE WHEN {_strip('said2')} = {_strip('after_content')} THEN 1.0::double ELSE 0.0::double END, d_intent FROM delta)
 SELECT model, coalesce(k, 'all') AS intent_class, count(*) AS n, count(*) AS n_ok, round(avg(exact_match), 4) AS exact_match, round(avg(linter_delta), 4) AS linter_delta FROM m GROUP BY GROUPING SETS ((model, k), (model))"""
+#: Longest common subsequence of the words of pairs (id, x, y): common ends are cut off, the rest goes row by row.
+_LCS = r"""w AS (SELECT id, regexp_extract_all(lower(x), '[\pL\pN_]+') AS a, regexp_extract_all(lower(y), '[\pL\pN_]+') AS b FROM texts),
+ends1 AS (SELECT *, len(a) AS na, len(b) AS nb, coalesce(list_position(list_transform(range(1, least(len(a), len(b)) + 1), lambda i: a[i] = b[i]), false), least(len(a), len(b)) + 1) - 1 AS pre FROM w),
+ends2 AS (SELECT *, coalesce(list_position(list_transform(range(0, least(na, nb) - pre), lambda i: a[na - i] = b[nb - i]), false), least(na, nb) - pre + 1) - 1 AS suf FROM ends1),
+mid AS (SELECT id, na, nb, pre + suf AS same, a[pre + 1:na - suf] AS p, b[pre + 1:nb - suf] AS q FROM ends2),
+lcs(id, i, row) AS (SELECT id, 0, list_transform(q, lambda v: 0) FROM mid UNION ALL SELECT id, i + 1, list_transform(range(1, len(m) + 1), lambda j: list_max(m[1:j]))
+  FROM (SELECT lcs.id, i, list_transform(range(1, len(q) + 1), lambda j: greatest(row[j], coalesce(row[j - 1], 0) + CAST(p[i + 1] = q[j] AS INT))) AS m FROM lcs JOIN mid ON mid.id = lcs.id WHERE i < len(p))),
+rouge AS (SELECT mid.id, CASE WHEN na = 0 OR nb = 0 THEN 0.0::double ELSE 2.0::double * (same + coalesce(row[-1], 0)) / (na + nb) END AS score FROM mid JOIN lcs ON lcs.id = mid.id AND i = len(p))"""
+_RECURSIVE = _KIND.replace("WITH ", "WITH RECURSIVE ", 1)
+_ROUGE = f"""{_RECURSIVE}, texts AS (SELECT pair_id || ':b' AS id, before_content AS x, after_content AS y FROM ev UNION ALL SELECT pair_id || ':i', said2, after_content FROM ev), {_LCS},
+m AS (SELECT CASE WHEN id LIKE '%:b' THEN 'identity' ELSE 'intent_only' END AS model, k, score FROM rouge JOIN ev ON pair_id = left(id, length(id) - 2))
+SELECT model, coalesce(k, 'all') AS intent_class, count(*) AS n, count(*) AS n_ok, round(avg(score), 4) AS rouge_l FROM m GROUP BY GROUPING SETS ((model, k), (model))"""
 _OPEN = r"CASE WHEN o = '' THEN '```md' WHEN regexp_matches(o, '(^|\n)\s*```$') THEN regexp_replace(o, '(^|\n)[^\n]*$', '') ELSE o END"
 SQL = {
     "diff_summary": f"WITH {REV}, {_SUMMARY} SELECT pair_id, fmc AS frontmatter_changed, name_a <> name_b AS frontmatter_name_changed, CAST(greatest(0, length(body_a) - length(body_b)) AS INT) AS body_added_chars, CAST(greatest(0, length(body_b) - length(body_a)) AS INT) AS body_removed_chars, code_b AS code_blocks_before, code_a AS code_blocks_after, edit_kind, array_to_string(added, '|') AS sections_added, array_to_string(removed, '|') AS sections_removed FROM e",
@@ -231,6 +243,8 @@ SQL = {
     "vector_clusters": _NEAR + " SELECT x AS vec_id, c AS cluster FROM comp",
     "metric_lint_delta": _DELTA + " SELECT pair_id, d_identity AS score FROM delta",
     "eval_baselines": _BASELINES,
+    "metric_rouge": f"{_RECURSIVE}, texts AS (SELECT pair_id AS id, before_content AS x, after_content AS y FROM ev), {_LCS} SELECT id AS pair_id, round(score, 6) AS score FROM rouge",
+    "eval_rouge": _ROUGE,
 
     "shingle_counts": f"WITH {_SETS} SELECT doc_id, CAST(len(runs) AS INT) AS shingles FROM s WHERE text IS NOT NULL",
     "vector_topk": _TOPK,
