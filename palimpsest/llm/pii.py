@@ -104,6 +104,8 @@ _CALLED = re.compile(r"(?i)\b(?:tel|phone|call|mobile|cell|fax|sms|text|whatsapp
 _NUMBERED = re.compile(r"(?i)\b(?:ssn|social security|nino|national insurance|passport|tax|cpf|dni|nie|national id|identity|id card|personal|steuer-id|ausweis)\b[^\d\n]{0,20}$")
 #: Small words inside surnames.
 _PARTICLES = frozenset("de da do dos del della di van von der den la le el al bin ten ter zu".split())
+#: Between the words of one name.
+_BETWEEN = re.compile(rf"[ .,]{{1,3}}(?:(?:{'|'.join(sorted(_PARTICLES))}) ){{0,3}}")
 
 
 def _names(line: str, s: int, e: int, common: set[str] | frozenset[str]) -> list[tuple[int, int]]:
@@ -113,8 +115,9 @@ def _names(line: str, s: int, e: int, common: set[str] | frozenset[str]) -> list
     runs, last = [], ""
     for m in _NAME_WORD.finditer(line, s, e):
         w = m[0]
-        how = "" if w in _PARTICLES and last == "C" else "c" if w[0].islower() and w not in common else "" if w[0].islower() else "C"
-        if how and how == last and re.fullmatch(r"[ .,]{1,3}", line[runs[-1][-1].end() : m.start()]) and not (len(runs[-1][-1][0]) > 3 and ". " in line[runs[-1][-1].end() : m.start()]):
+        capital = not w[0].islower() or bool(re.match(r"(?:al|el|d|l|o)['’-][^\W\d_a-zß-ÿ]", w))  # al-Sayed, d'Arc
+        how = "" if w in _PARTICLES and last == "C" else "C" if capital else "c" if w not in common else ""
+        if how and how == last and _BETWEEN.fullmatch(line[runs[-1][-1].end() : m.start()]) and not (len(runs[-1][-1][0]) > 3 and ". " in line[runs[-1][-1].end() : m.start()]):
             runs[-1].append(m)
         elif how or not runs:
             runs.append([m])

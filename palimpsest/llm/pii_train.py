@@ -96,6 +96,10 @@ def _name(r: random.Random, lex) -> str:
     last = r.choice(lex[1]).title() if lex and r.random() < 0.5 else (_syll(r, r.choice([1, 2])) + r.choice(_ENDS)).title()
     if r.random() < 0.08:
         last += "-" + (_syll(r, 1) + r.choice(_ENDS)).title()
+    if r.random() < 0.12:
+        last = r.choice(["van der ", "van ", "de ", "da ", "del ", "von ", "al-", "el-", "bin ", "O'", "D'", "Mc"]) + last
+    if r.random() < 0.06:
+        first += " " + _syll(r, r.choice([1, 2])).title()
     k = r.random()
     out = f"{first} {last}" if k < 0.62 else f"{first[0]}. {last}" if k < 0.78 else f"{last}, {first}" if k < 0.86 else f"{first} {r.choice('ABCDEFGHKLMST')}. {last}"
     return out.lower() if r.random() < 0.08 else out.upper() if r.random() < 0.03 else out
@@ -108,7 +112,7 @@ def _mail(r: random.Random, lex) -> str:
     if r.random() < 0.2:
         host.insert(0, r.choice(["mail", "eu", "ops", "dev"]))
     if r.random() < 0.25:
-        at, dot = r.choice([(" at ", " dot "), (" (at) ", " (dot) "), (" [at] ", " [dot] "), ("(at)", "(dot)"), ("[at]", "[dot]")])
+        at, dot = r.choice([(" at ", " dot "), (" (at) ", " (dot) "), (" [at] ", " [dot] "), (" AT ", " DOT "), ("(at)", "(dot)"), ("[at]", "[dot]")])
         return user + at + dot.join(host)
     out = f"{user}@{'.'.join(host)}"
     return out.upper() if r.random() < 0.06 else out
@@ -118,14 +122,14 @@ def _fill(r: random.Random, form: str) -> str:
     return "".join(str(r.randint(0, 9)) if c == "9" else r.choice("ABCDEFGHJKLMNPQRSTXYZ") if c == "A" else c for c in form)
 
 
-_PHONES = "+44 99 9999 9999|+1 999 555 0199|+19995550199|(999) 555-0199|999-555-0199|999.555.0199|01 99 00 99 99|0491 570 999|07700 900999|+49 30 23125 999|+33 9 99 99 99 99|0099 99 999 9999|+61 9 9999 9999|+34 999 99 99 99|020 7946 0999".split("|")
-_IDS = "999-99-9999|999999999|QQ999999A|QQ 99 99 99 C|999.999.999-99|XA9999999|99 999 999 999|99999999A|A9999999".split("|")
-_WORDS_FOR_ID = "SSN|ssn:|social security no.|Social Security Number:|NI number|NINO|National Insurance no.|CPF|CPF nº|passport|passport no.|Passport number:|tax id|tax number|Steuer-ID|DNI|national id|ID card".split("|")
+_PHONES = "+44 99 9999 9999|+1 999 555 0199|+19995550199|(999) 555-0199|999-555-0199|999.555.0199|01 99 00 99 99|0491 570 999|07700 900999|+49 30 23125 999|+33 9 99 99 99 99|0099 99 999 9999|+61 9 9999 9999|+34 999 99 99 99|1-999-555-0199|020 7946 0999".split("|")
+_IDS = "999-99-9999|999999999|QQ999999A|QQ 99 99 99 C|AA999999A|AA 99 99 99 A|9 99 99 99 999 999 99|999.999.999-99|XA9999999|99 999 999 999|99999999A|A9999999".split("|")
+_WORDS_FOR_ID = "SSN|ssn:|social security no.|Social Security Number:|NI number|NINO|National Insurance no.|CPF|CPF nº|passport|passport no.|Passport number:|tax id|tax number|Steuer-ID|DNI|national id|ID card|personal no.|identity number".split("|")
 
 
 def _address(r: random.Random) -> str:
     stem, town = _syll(r, r.choice([1, 2])).title() + r.choice(["field", "moor", "gate", "stone", "brook", "combe", ""]), _syll(r, 1).title() + r.choice(["ford", "haven", "mere", "wick", "val", "field"])
-    n, k = r.randint(1, 480), r.randint(0, 7)
+    n, k = r.randint(1, 480), r.randint(0, 8)
     if k == 0:
         return f"{n} {r.choice(['', 'East ', 'West ', 'S ', 'N. '])}{stem} {r.choice('Street Road Lane Drive Court Terrace Way Avenue'.split())}" + r.choice(["", f", {town}"])
     if k == 1:
@@ -140,12 +144,14 @@ def _address(r: random.Random) -> str:
         return f"{stem}{r.choice(['straße', 'strasse', 'weg', 'allee'])} {n}, {_fill(r, '99999')} {town}"
     if k == 6:
         return f"{stem}{r.choice(['laan', 'straat'])} {n}-{r.choice('abc')}, {town}"
+    if k == 7:
+        return f"{r.choice(['Via', 'Piazza', 'Rua das', 'Rua de'])} {stem} {n}, {_fill(r, r.choice(['99999', '9999-999']))} {town}"
     return f"{n} {stem} {r.choice('Street Road Lane'.split())}"
 
 
 _FORMS = """<N> asked for a <w> that can be paused.|Thanks to <N> for the <w> idea.|Reviewed-by: <N>|Co-authored-by: <N> <<E>>|author: <N> <<E>>|# maintainer: <N> <<E>>|- Name: <N>|- Mail: <E>|- Phone: <P>|Questions about the <w> go to <E>.|Write to <E> when the <w> breaks.|Ask <E> for access to the <w>.|cc <E>; <E>|The <w> owner can be reached by [mail](mailto:<E>).|<N>|<A>|Tested by <N> and <N> on the <w>.|On Tuesday <N> wrote that the <w> was <w>.|As <N> pointed out in the call, the <w> was <w>.|Pairing with <N> helped to find the <w>.|This follows the <w> that <N> drew on the board.|> <N>, <E>|- <N> (<E>)|<N> (<P>) owns the <w>.|<N> can be called on <P> about the <w>.|Call the duty phone <P> if the <w> stays red.|The <w> hotline is <P>.|Tel/SMS <P>|Outside hours use <P> and ask for the <w> shift.|Rückfragen bitte an <N>, Tel. <P>.|Pour le <w>, appeler <N> au <P>.|Dudas sobre <w>: <N>, tfno. <P>|The sample form had <J> <I> in the first <w>, please blank it.|A user named <N> sent <J> <I> and lives at <A>; mask all of that.|It choked on <J> <I>. Start with the <w>.|    <N>;<I>;<w>;17|42,<N>,<I>|<d>,<N>,<I>|<N>;<I>;<w>|It choked on <J> <I>.|A user sent <J> <I> and wrote to us.|  "customer": "<N>",|  "phone": "<P>",|  "street": "<A>"|  "email": "<E>",|  oncall: "<P>"|  contact: <E>|<!-- asked <N>, tel. <P>, about the <w> -->|# ask <N> before changing the <w>|// owner: <N> <<E>>|Ship the <w> to <A>.|The <w> stands at <A> for now.|Delivery note: <A>, ring <P> at the gate.|Invoices for the <w> are posted to <A>, please keep the receipt.|<w> team, <A>|Dr. <N> owns the <w>|Reported by <N>|Suggested-by: <N>|Contact <N> at <P> or <E>|Signed-off-by: <N> <<E>>|ping <N> on Monday|If nobody answers → <P> (voice) or <P> (text).|met with <N> about the <w>|Owner: <N>, <A>""".split("|") + ["| <w> owner | <E> |", "| <N> | <P> |", "| <w> | <N> | <E> |"]
 _FILL = "route parser ledger index cache gateway schema draft session counter bridge matrix panel quiet stable remote".split()
-_NEVER = """Commits by noreply@forge.example are made by the <w> bot.|Mail templates use support@example.com or you@<w>.example as the sender of the <w>.|Clone it with `git@forge.example:<w>/<w>.git` and pin `@<w>/<w>@2.1.7`.|Ask @<w>-<w> in the channel, handles are enough.|<T> reads the <w> and writes a <w> next to the <w>.|<T> and <T> share the <w>, so review both when the <w> changes.|Thanks to <T> the <w> is stable again; reviewed by the <w> team.|See Chapter 15, <W> <W>, for the <w>.|# <W> <W>|## <W> <W>|Range 10.<d>.0.0/16 and date 2024-08-0<d> are <w> values.|The checksum <d><d><d><d><d><d> and the epoch 17<d><d><d><d> must match the <w>.|Build 2025<d><d>.<d> took <d> ms; the <w> listens on ports 5433-5586.|postgres://svc<w>:<w><d>@host.internal:5432/<w>|scp <w>.tar <w>@host.lan:/srv/|curl -u svc-<w>:<w>9 https://<w>.home/<w>.tgz|version <d>.<d>.<d> of the <w>|2023-11-0<d>T07:29:18+02:00|id <d><d><d>-<d>""".split("|") + ["| <w> | <d><d><d> |"]
+_NEVER = """Commits by noreply@forge.example are made by the <w> bot.|Mail templates use support@example.com or you@<w>.example as the sender of the <w>.|Clone it with `git@forge.example:<w>/<w>.git` and pin `@<w>/<w>@2.1.7`.|Ask @<w>-<w> in the channel, handles are enough.|<T> reads the <w> and writes a <w> next to the <w>.|<T> and <T> share the <w>, so review both when the <w> changes.|Thanks to <T> the <w> is stable again; reviewed by the <w> team.|See Chapter 15, <W> <W>, for the <w>.|# <W> <W>|## <W> <W>|Range 10.<d>.0.0/16 and date 2024-08-0<d> are <w> values.|The checksum <d><d><d><d><d><d> and the epoch 17<d><d><d><d> must match the <w>.|Build 2025<d><d>.<d> took <d> ms; the <w> listens on ports 5433-5586.|postgres://svc<w>:<w><d>@host.internal:5432/<w>|scp <w>.tar <w>@host.lan:/srv/|curl -u svc-<w>:<w>9 https://<w>.home/<w>.tgz|version <d>.<d>.<d> of the <w>|2023-11-0<d>T07:29:18+02:00|id <d><d><d>-<d>|-----BEGIN <W> <W> KEY-----|-----END OPENSSH PRIVATE KEY-----|Oops! Something went wrong.|When the <w> answers 404 NOT Found, wait and try the <w>.|<d><d>.<d>.<d> FORBIDDEN <W>""".split("|") + ["| <w> | <d><d><d> |"]
 
 
 def compose(r: random.Random, n: int, lex, tools: list[str]) -> list[tuple[str, list[tuple[int, int, str]]]]:
@@ -195,7 +201,7 @@ def words_of(common: set[str], first: set[str], last: set[str]) -> list[str]:
     return sorted(w for w in common if w.lower() not in first and w.lower() not in last)
 
 
-def main(data: str, bound: int = LINES, hidden: int = 24, epochs: int = 7) -> None:
+def main(data: str, bound: int = LINES, hidden: int = 24, epochs: int = 10) -> None:
     import pyarrow.parquet as pq
 
     r = random.Random(11)
