@@ -102,12 +102,18 @@ _ANSWER = re.compile(r" (?:Not Found|Bad Request|Bad Gateway|Moved Permanently|I
 #: Bare runs of digits are counts, times and keys, unless such a word stands shortly before.
 _CALLED = re.compile(r"(?i)\b(?:tel|phone|call|mobile|cell|fax|sms|text|whatsapp|ring|handy|telefon|téléphone|teléfono)\b[^\d\n]{0,20}$")
 _NUMBERED = re.compile(r"(?i)\b(?:ssn|social security|nino|national insurance|passport|tax|cpf|dni|nie|national id|identity|id card|personal|steuer-id|ausweis)\b[^\d\n]{0,20}$")
+_MONTH = re.compile(r" (?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]*\b")
 #: Small words inside surnames.
 _PARTICLES = frozenset("de da do dos del della di van von der den la le el al bin ten ter zu".split())
 #: Between the words of one name.
 _BETWEEN = re.compile(rf"[ .,]{{1,3}}(?:(?:{'|'.join(sorted(_PARTICLES))}) ){{0,3}}")
 
 
+def _capital(w: str) -> bool:
+    """Whether a word is written like a name: Sayed, al-Sayed, d'Arc."""
+    return not w[0].islower() or bool(re.match(r"(?:al|el|d|l|o)['’-][^\W\d_a-zß-ÿ]", w))
+
+
 def _names(line: str, s: int, e: int, common: set[str] | frozenset[str]) -> list[tuple[int, int]]:
     """The names in s:e, in which the tagger may have joined several with what stands between them."""
     # runs of words written alike: capitalised ones, or rare small ones; common small words end a run
@@ -115,8 +121,7 @@ def _names(line: str, s: int, e: int, common: set[str] | frozenset[str]) -> list
     runs, last = [], ""
     for m in _NAME_WORD.finditer(line, s, e):
         w = m[0]
-        capital = not w[0].islower() or bool(re.match(r"(?:al|el|d|l|o)['’-][^\W\d_a-zß-ÿ]", w))  # al-Sayed, d'Arc
-        how = "" if w in _PARTICLES and last == "C" else "C" if capital else "c" if w not in common else ""
+        how = "" if w in _PARTICLES and last == "C" else "C" if _capital(w) else "c" if w not in common else ""
         if how and how == last and _BETWEEN.fullmatch(line[runs[-1][-1].end() : m.start()]) and not (len(runs[-1][-1][0]) > 3 and ". " in line[runs[-1][-1].end() : m.start()]):
             runs[-1].append(m)
         elif how or not runs:
@@ -124,6 +129,12 @@ def _names(line: str, s: int, e: int, common: set[str] | frozenset[str]) -> list
         last = how or ("C" if w in _PARTICLES and last == "C" else "")
     out = []
     for run in runs:
+        if len(run) == 1 and _capital(run[0][0]):  # the tagger may have marked one word of a name
+            words = [m for m in _NAME_WORD.finditer(line, max(0, run[0].start() - 40), min(len(line), run[0].end() + 40)) if m[0] not in _PARTICLES]
+            k = next((i for i, m in enumerate(words) if m.start() == run[0].start()), None)
+            if k is not None:
+                beside = lambda a, b: _BETWEEN.fullmatch(line[a.end() : b.start()]) and all(_capital(w[0]) and w[0] not in common and w[0].lower() not in common for w in (a, b))
+                run = [*([words[k - 1]] if k and beside(words[k - 1], words[k]) else []), words[k], *([words[k + 1]] if k + 1 < len(words) and beside(words[k], words[k + 1]) else [])]
         words = [m[0] for m in run]
         rare = [w for w in words if len(w) > 2 and w not in common and not common.issuperset(w.lower().split("-"))]
         s, e = run[0].start(), run[-1].end()
@@ -172,7 +183,9 @@ def _exact(line: str, s: int, e: int, kind: str) -> tuple[int, int] | None:
             return None
         return None if re.fullmatch(r"\d{4}-\d\d-\d\d|\d+\.\d+\.\d+\.\d+|\d{8}\.\d+|\d{4}-\d{4}", text) else (s, e)
     if kind == "id_number":
-        if not 6 <= digits <= 16 or letters > 4 or any(c.isalnum() or c in "_/+=-" for c in beside) or letters and re.fullmatch("[0-9a-f]+", text):
+        if not 6 <= digits <= 16 or letters > 4 or re.search("[a-z]{3}", text) or any(c.isalnum() or c in "_/+=-" for c in beside) or letters and re.fullmatch("[0-9a-f]+", text):
+            return None
+        if re.match(r"\.\d", line[e:]):
             return None
         if re.fullmatch(r"\d{10}|\d{12,}", text) and not _NUMBERED.search(line[:s]):
             return None
@@ -185,7 +198,7 @@ def _exact(line: str, s: int, e: int, kind: str) -> tuple[int, int] | None:
         begins, ends = [0, *[m.end() for m in cuts]], [*[m.start() for m in cuts], len(text)]
         for b, e in zip(begins, ends, strict=True):
             part = text[b:e]
-            numbers = (m for m in _NUMBER.finditer(part) if not _PLACE.search(line[: s + b + m.start()]) and not _ANSWER.match(line, s + b + m.end()))
+            numbers = (m for m in _NUMBER.finditer(part) if not _PLACE.search(line[: s + b + m.start()]) and not _ANSWER.match(line, s + b + m.end()) and not _MONTH.match(line, s + b + m.end()))
             if _CAPITAL.search(part) and any(numbers):
                 return s + b + len(part) - len(part.lstrip(" ,;:")), s + b + len(part.rstrip(" ,;:"))
     return None
@@ -214,7 +227,11 @@ def _marked(net: Tagger, lines: list[str]) -> Iterator[tuple[int, list[tuple[int
                 e = b + 1
                 while e < len(x) and path[e] == 2 + 2 * k:
                     e += 1
-                spans.append((b, e, next((as_kind for form, as_kind in _FORMS if form.fullmatch(x[b:e].strip(" .,;:()"))), KINDS[k])))
+                kind = next((as_kind for form, as_kind in _FORMS if form.fullmatch(x[b:e].strip(" .,;:()"))), KINDS[k])
+                if kind == "name" and (m := _STREET.search(x, max(0, b - 8))) and m.start() < b < m.end():  # 7 N. Elm Drive
+                    spans.append((m.start(), max(e, m.end()), "address"))
+                else:
+                    spans.append((b, e, kind))
                 b = e
             yield i, spans
 

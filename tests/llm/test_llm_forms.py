@@ -21,8 +21,8 @@ SENTENCES = {
     "address": ["Visit us at {}.", "- Address: {}", "The office moved to {} last year.", "Ship the device to {} please.", "# {}"],
     "id_number": ["SSN: {}", "his passport no. is {}", "The sample row had national id {} in it.", "tax id {}", "NINO {} must not be logged"],
 }
-#: What was measured, less a little: 60 of 72, 30 of 30, 40 of 40, 28 of 40, 29 of 30.
-LEAST = {"name": 0.8, "email": 0.96, "phone": 0.96, "address": 0.65, "id_number": 0.9}
+#: What was measured, less a little: 67 of 72, 30 of 30, 40 of 40, 29 of 40, 29 of 30.
+LEAST = {"name": 0.9, "email": 0.96, "phone": 0.96, "address": 0.7, "id_number": 0.93}
 PLAIN = ["See Chapter 12, Access Control, for the rules.", "The job takes 1200 ms on port 5432.", "Bump to 3.14.159 on 2024-05-06.", "Velvet Parser reads the input.", "Use the New York region.", "sha256 9f86d081884c7d65", "Edit the README and the Makefile.", "Range 10.0.0.0/8 is private.", "Oops! Something went wrong.", "-----BEGIN PUBLIC KEY-----"]
 
 

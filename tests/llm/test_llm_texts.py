@@ -32,6 +32,11 @@ def tagged(line):
         ("Tel/SMS +44 20 7946 0636", {("phone", "+44 20 7946 0636")}),
         ("The sample form had NINO QQ 01 42 53 B in the first validator, please blank it.", {("id_number", "QQ 01 42 53 B")}),
         ("Tested by Wanda Cranndale and Kofi Brackingham on the hourly converter.", {("name", "Wanda Cranndale"), ("name", "Kofi Brackingham")}),
+        ("The deployment stands at 7 N. Tamarfield Drive for now.", {("address", "7 N. Tamarfield Drive")}),
+        ("Ask N. Tamarfield on 14 March", {("name", "N. Tamarfield")}),
+        ("Build always 20254299.530 took 8138 ms; the container listens on recent 5404-5535.", set()),
+        ("Thanks to Lars van der Berg for the fix.", {("name", "Lars van der Berg")}),
+        ("Please ask Fatima al-Sayed before you merge.", {("name", "Fatima al-Sayed")}),
         ("Mail templates use support@example.com or you@drevhub.example as the sender of the webhook.", set()),
         ("Clone it with `git@codeforge.example:tessworks/footer.git` and pin `@footer/flat@2.28.7`.", set()),
         ("Range 10.240.0.0/16 and date 2024-12-17 are sudden values.", set()),
