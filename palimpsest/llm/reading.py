@@ -43,7 +43,7 @@ SHRINK, SPREAD = 4.0, 1.0
 
 _FRONT = re.compile(r"\A﻿?---[ \t]*\r?\n.*?^---[ \t]*\r?$", re.S | re.M)
 _FENCE = re.compile(r"^[ \t]*(`{3,}|~{3,})[^\n]*\n.*?(?:^[ \t]*\1[`~]*[ \t]*\r?$|\Z)", re.S | re.M)
-_DROP = re.compile(r"``[^`]+``|`[^`\n]*`|^[ \t]*#{1,6}[ \t][^\n]*|^[ \t]*\|[^\n]*|^ {4,}\S[^\n]*|<[^<>\n]*>|https?://\S+|\S*[/_\\@=]\S*", re.M)
+_DROP = re.compile(r"``[^`]+``|`[^`\n]*`|^[ \t]*#{1,6}[ \t][^\n]*|^[ \t]*\|[^\n]*|^ {4,}\S[^\n]*|<[^<>\n]*>|https?://\S+|(?<![^\s`>])[^\s/_\\@=`<]*[/_\\@=]\S*", re.M)
 _TARGET = re.compile(r"\]\([^)\n]*\)")
 _WORD = re.compile(r"[^\W\d_]{2,}(?:['’][^\W\d_]+)?|[^\W\d_]")
 

@@ -372,6 +372,16 @@ def test_shards_share_out_the_totals():
         before = before + c
 
 
+def test_shards_share_out_totals_beyond_the_generators_range():
+    totals, per = np.array([3_000_000_000, 1_200_000_000, 7, 0, 500_000_000], np.int64), 600_000_000
+    shards = -(-int(totals.sum()) // per)
+    parts = [mixing.shard_counts(i, shards, int(totals.sum()), totals, per, 3) for i in range(shards)]
+    assert (sum(c for c, _ in parts) == totals).all() and all((c >= 0).all() for c, _ in parts)
+    assert [int(c.sum()) for c, _ in parts[:-1]] == [per] * (shards - 1)
+    share = parts[0][0] / per
+    assert np.abs(share - totals / totals.sum()).max() < 0.001
+
+
 def test_prose_leaves_out_what_is_no_prose():
     text = "---\nname: x\n---\n# Heading here\n\nPlain words with `code inside` and [a link](http://x.y/z).\n\n```py\nhidden = 1\n```\n- item words\n| a | b |\n"
     assert reading.prose(text).split() == ["Plain", "words", "with", "and", "[a", "link]", ".", "-", "item", "words"]
