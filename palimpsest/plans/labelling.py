@@ -70,7 +70,8 @@ def apply_labels(df: DataFrame, given: DataFrame, key: str) -> DataFrame:
 
 
 def cost(n: Column, size: int = 50, head: int = 250, each_in: int = 30, each_out: int = 8, per_million: tuple[float, float] = (1.0, 5.0)) -> Column:
-    """struct(calls, tokens_in, tokens_out, dollars) of labelling n subjects in batches; every call counts as a full one."""
+    """struct(calls, tokens_in, tokens_out, dollars) of labelling n subjects in batches; every call counts as a full one. What a call and
+    a subject are reckoned at are fixed values."""
     calls = F.ceil(n / size)
     tokens_in, tokens_out = calls * (head + size * each_in), calls * (size * each_out)
     dollars = tokens_in / 1e6 * per_million[0] + tokens_out / 1e6 * per_million[1]
