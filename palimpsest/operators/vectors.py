@@ -88,10 +88,10 @@ def centres(vectors: DataFrame, key: str, vector: str, cells: int | None = None,
     return c
 
 
-def indexed_neighbours(vectors: DataFrame, queries: DataFrame, key: str, vector: str, k: int, centre: np.ndarray, probes: int, least: float = -1.0) -> DataFrame:
-    """As neighbours(), but every vector lies in the cell of its nearest centre and a query meets the vectors of its probes nearest
-    cells only: k nearest of those. Every vector is in a cell; what is missed are neighbours in cells that are not probed, fewer the
-    more probes. A cell of many vectors is cut into parts, so that a hot cell is many tasks."""
+def indexed_neighbours(vectors: DataFrame, queries: DataFrame, key: str, vector: str, k: int, centre: np.ndarray, probes: int, spill: int = 3, least: float = -1.0) -> DataFrame:
+    """As neighbours(), but every vector lies in the cells of its spill nearest centres and a query meets the vectors of its probes
+    nearest cells only: k nearest of those. Every vector is indexed; what is missed are neighbours none of whose cells is probed,
+    fewer the more probes. A cell of many vectors is cut into parts, so that a hot cell is many tasks."""
     kind, share = dict(vectors.dtypes)[key], vectors.sparkSession.sparkContext.broadcast(centre)
 
     def cell_of(n: int):
@@ -106,11 +106,12 @@ def indexed_neighbours(vectors: DataFrame, queries: DataFrame, key: str, vector:
         return work
 
     placed = lambda df, n: df.select(F.col(key).alias("id"), F.col(vector).alias("v")).mapInPandas(cell_of(n), f"id {kind}, v {dict(vectors.dtypes)[vector]}, cell bigint")
-    v, q = placed(vectors, 1), placed(queries, min(probes, len(centre)))
+    v, q = placed(vectors, min(spill, len(centre))), placed(queries, min(probes, len(centre)))
     sizes = v.groupBy("cell").agg(F.ceil(F.count("*") / PART).alias("parts"))  # one row per cell
     v = v.join(F.broadcast(sizes), "cell").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
     q = q.join(F.broadcast(sizes), "cell").withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
     met = q.drop("parts").groupBy("cell", "part").cogroup(v.drop("parts").groupBy("cell", "part")).applyInPandas(_meet(k, least), f"query {kind}, id {kind}, similarity double")
+    met = met.groupBy("query", "id").agg(F.max("similarity").alias("similarity"))  # met in several cells
     rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("similarity"), "id"))
     return met.withColumn("rank", rank).where(f"rank <= {k}").select("query", F.col("id").alias(key), "similarity", "rank")
 

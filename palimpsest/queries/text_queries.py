@@ -73,7 +73,7 @@ def vector_index(spark, d):
     v = table(spark, d, "embeddings").select("vec_id", "embedding")
     q = v.where("vec_id % 100 = 0")
     c = vectors.centres(v, "vec_id", "embedding")
-    found = vectors.indexed_neighbours(v, q, "vec_id", "embedding", 10, c, probes=max(1, round(0.6 * len(c))))
+    found = vectors.indexed_neighbours(v, q, "vec_id", "embedding", 10, c, probes=max(1, round(0.4 * len(c))))
     exact = vectors.neighbours(v, q, "vec_id", "embedding", 10).select("query", "vec_id")
     both = exact.join(found.select("query", "vec_id", F.lit(1).alias("hit")), ["query", "vec_id"], "left")
     return both.agg(F.countDistinct("query").alias("queries"), (F.count("hit") >= 0.9 * F.count("*")).alias("recalled"))
